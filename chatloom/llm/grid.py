@@ -25,8 +25,7 @@ _POWERS = np.ones(1, np.uint64)
 def _powers(n: int) -> np.ndarray:
     global _POWERS
     while len(_POWERS) < n:
-        last = _POWERS[-1] * _STEP
-        _POWERS = np.concatenate([_POWERS, _POWERS * last])
+        _POWERS = np.concatenate([_POWERS, _POWERS * (_POWERS[-1:] * _STEP)])
     return _POWERS
 
 
@@ -116,10 +115,10 @@ def shingles(h: np.ndarray, doc: np.ndarray, n_docs: int, n: int) -> tuple[np.nd
     if len(rest):
         extra = []
         for d in rest:
-            acc = np.uint64(per[d])
+            acc = np.array([per[d]], np.uint64)
             for x in h[first[d] : first[d + 1]]:
-                acc = mix(np.array([acc * _STEP + x]))[0]
-            extra.append(acc)
+                acc = mix(acc * _STEP + x)
+            extra.append(acc[0])
         out, out_doc = np.concatenate([out, np.array(extra, np.uint64)]), np.concatenate([out_doc, rest])
         order = np.argsort(out_doc, kind="stable")
         out, out_doc = out[order], out_doc[order]

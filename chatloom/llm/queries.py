@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, mixing, warc
+from . import decontaminate, licenses, mixing, neardup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), n=3, threshold=0.85)
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(_table(spark, sf_dir, "pages"))
 
@@ -27,5 +31,9 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_rows(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_mixing, op4_decontamination, op8_licenses)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_neardup, op2_warc, op3_mixing, op4_decontamination, op8_licenses, op10_toxicity)}
 ORACLE_SQL = {"op2_warc": warc.SQL, "op3_mixing": mixing.SQL, "op4_decontamination": decontaminate.SQL, "op8_licenses": licenses.SQL}
