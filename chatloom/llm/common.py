@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import uuid
 
@@ -35,12 +36,12 @@ def _delete(spark: SparkSession, path: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The frame, written to the shared folder and read again: lineage ends there,
     so a lost executor costs a reread and not a recomputation."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._chatloom_path = path
     return out
@@ -53,6 +54,13 @@ def discard(df: DataFrame) -> None:
         _delete(df.sparkSession, path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that nothing refers to any more,
+    now and not when the driver next happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark the frame for broadcast only if it is counted to have ``max_rows`` at most."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
@@ -81,4 +89,4 @@ def local_temp_cleanup() -> None:
 
 atexit.register(local_temp_cleanup)
 
-__all__ = ["WORD", "T", "discard", "new_path", "remainder", "shared_dir", "small", "text_or_empty", "with_columns_of", "written"]
+__all__ = ["WORD", "T", "discard", "free_shuffles", "new_path", "remainder", "shared_dir", "small", "text_or_empty", "with_columns_of", "written"]

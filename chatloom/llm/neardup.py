@@ -248,3 +248,17 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> Data
     own = sigs.select("doc_id", "n_shingles", "d1", "d2").join(classes.withColumnRenamed("id", "rep"), (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
     out = own.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").withColumn("component_id", F.coalesce("label", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest doc_id, with its columns.
+
+    Of rows that repeat a doc_id one stays. Rows with a null doc_id all stay.
+    """
+    gone = near_duplicates(docs, n, threshold).filter("not kept").select(F.col("doc_id").alias("__gone"))
+    left = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    repeated = written(docs.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__twice")).count().filter("count > 1").select("__twice"), "near-repeated")
+    if not repeated.limit(1).count():
+        return left
+    again = left["doc_id"] == F.col("__twice")
+    return left.join(repeated, again, "left_anti").unionByName(left.join(repeated, again, "left_semi").dropDuplicates(["doc_id"]))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, licenses, mixing, neardup, quality, toxicity, warc
+from . import decontaminate, language, licenses, lm, mixing, neardup, quality, secret_scan, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(_table(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.findings(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -39,9 +43,13 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_rows(_table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_neardup, op2_warc, op3_mixing, op4_decontamination, op5_language, op7_quality, op8_licenses, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_neardup, op2_warc, op3_mixing, op4_decontamination, op5_language, op6_secrets, op7_quality, op8_licenses, op9_lm_scoring, op10_toxicity)}
 ORACLE_SQL = {"op2_warc": warc.SQL, "op3_mixing": mixing.SQL, "op4_decontamination": decontaminate.SQL, "op8_licenses": licenses.SQL}

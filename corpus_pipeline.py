@@ -1,8 +1,46 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: toxic documents go, one of each group of near-duplicates
+stays, documents with benchmark items go, secrets are masked, and the sources are mixed to target weights.
 
-STAGES = []
+A stage takes (spark, docs, sf_dir); all but the last return the columns of
+documents.  ``run`` writes what a stage returns and rereads it for the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from chatloom.llm import decontaminate, mixing, neardup, secret_scan, toxicity
+from chatloom.llm.common import written
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.deduplicated(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secret_scan.redacted(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(docs)
+
+
+STAGES = [("toxicity", without_toxic), ("near-dedup", deduplicated), ("decontamination", decontaminated), ("secrets", masked), ("mixing", mixed)]
+
+#: Trained models and near-duplicate groups can't be expressed in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
