@@ -12,7 +12,9 @@ that share only a common passage soon part.  Trees are independent; at the
 root, eight choices miss a pair at the threshold 0.85 with less than 1e-6.
 
 *Small nodes* are compared exhaustively by 8-bit sketches of the signature, and
-what a sketch can't exclude is confirmed on the full shingle sets.
+what a sketch can't exclude is confirmed on the full shingle sets.  After the
+first level the sketches have four times as many hashes, so that of sets just
+below the threshold few are left to confirm.
 
 *Large nodes.*  The links of the first level are confirmed and joined to
 components first.  From then on only nodes with documents of more than one
@@ -34,13 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import grid
-from .common import discard, text_or_empty, with_columns_of, written
+from .common import text_or_empty, with_columns_of, written
 from .graph import components
 
-N_HASHES = 128
+#: Hashes that nodes split by, and whose low bytes are the sketch of the first level; and of the finer sketch after it.
+N_HASHES, N_FINE = 128, 512
 #: Root choices (trees by branches), members of a small node, deepest level.
 ROOT, LEAF, DEEPEST = 8, 24, 16
-_FACTORS = np.random.default_rng(7).integers(1, 2**63, N_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = np.random.default_rng(7).integers(1, 2**63, N_FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _sets(h: np.ndarray, doc: np.ndarray, n_docs: int, n: int) -> list[np.ndarray]:
@@ -56,32 +59,35 @@ def _shingle_sets(data: np.ndarray, offs: np.ndarray, n: int) -> list[np.ndarray
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, d1 and d2 (a 128-bit digest of the shingle set), mins (array of 32-bit minwise hashes), sketch (their low bytes)."""
-    schema = "doc_id long, n_shingles long, d1 long, d2 long, mins array<int>, sketch binary"
-    arrow = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("mins", pa.list_(pa.int32())), ("sketch", pa.binary())])
+    """doc_id, n_shingles, d1 and d2 (a 128-bit digest of the shingle set), mins (array of 32-bit minwise hashes), sketch (their low bytes) and fine (those of more hashes)."""
+    schema = "doc_id long, n_shingles long, d1 long, d2 long, mins array<int>, sketch binary, fine binary"
+    arrow = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("mins", pa.list_(pa.int32())), ("sketch", pa.binary()), ("fine", pa.binary())])
+
+    def fixed(x: np.ndarray) -> pa.Array:
+        ends = pa.py_buffer((np.arange(len(x) + 1) * x.shape[1]).astype(np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(x), [None, ends, pa.py_buffer(np.ascontiguousarray(x))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in grid.pieces(batches, "text"):
             sets = _shingle_sets(data, offs, n)
             size = np.array([len(s) for s in sets])
             some = np.flatnonzero(size)
-            mins = np.zeros((len(sets), N_HASHES), np.uint32)
+            mins = np.zeros((len(sets), N_FINE), np.uint32)
             digest = np.zeros((2, len(sets)), np.uint64)
             if len(some):
                 flat, first = np.concatenate([sets[i] for i in some]), np.concatenate([[0], np.cumsum(size[some])[:-1]])
-                for k in range(N_HASHES):
+                for k in range(N_FINE):
                     mins[some, k] = np.minimum.reduceat(flat * _FACTORS[k], first) >> np.uint64(32)
                 for k in range(2):
                     digest[k, some] = grid.mix(np.add.reduceat(grid.mix(flat + _FACTORS[k]), first) + size[some].astype(np.uint64))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * N_HASHES, pa.int32()), pa.array(mins.ravel().view(np.int32)))
-            sketch = np.ascontiguousarray(mins.astype(np.uint8))
-            low = pa.Array.from_buffers(pa.binary(), len(sets), [None, pa.py_buffer((np.arange(len(sets) + 1) * N_HASHES).astype(np.int32)), pa.py_buffer(sketch)])
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), *(pa.array(x.view(np.int64)) for x in digest), lists, low], schema=arrow)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * N_HASHES, pa.int32()), pa.array(np.ascontiguousarray(mins[:, :N_HASHES]).ravel().view(np.int32)))
+            low = mins.astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), *(pa.array(x.view(np.int64)) for x in digest), lists, fixed(low[:, :N_HASHES]), fixed(low)], schema=arrow)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _compare(least: float, across: bool):
+def _compare(least: float, across: bool, hashes: int):
     """Pairs of rows of a node that the sketches don't exclude: of a node a spanning
     forest of the most similar, or (across) all pairs with different labels."""
 
@@ -95,7 +101,7 @@ def _compare(least: float, across: bool):
             i = i[(ids[i] != ids[i + k]) & ((label[i] != label[i + k]) if across else True)]
             for lo in range(0, len(i), 20000):
                 j = i[lo : lo + 20000]
-                est = (sketch[j] == sketch[j + k]).sum(axis=1) / N_HASHES
+                est = (sketch[j] == sketch[j + k]).sum(axis=1) / hashes
                 ok = est >= least
                 left.append(j[ok])
                 right.append(j[ok] + k)
@@ -134,7 +140,7 @@ def _compare(least: float, across: bool):
             if not batch.num_rows:
                 continue
             col = batch.column("sketch")
-            bits = np.frombuffer(col.buffers()[2], np.uint8)[col.offset * N_HASHES : (col.offset + len(col)) * N_HASHES].reshape(-1, N_HASHES)
+            bits = np.frombuffer(col.buffers()[2], np.uint8)[col.offset * hashes : (col.offset + len(col)) * hashes].reshape(-1, hashes)
             rows = [batch.column(c).to_numpy() for c in ("node", "id", "label")] + [bits]
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
@@ -148,11 +154,18 @@ def _compare(least: float, across: bool):
     return run
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, n: int, threshold: float) -> DataFrame:
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of the ids. The join is a shuffle at every size: ids grow with the corpus, so they aren't for broadcast."""
+    return written(docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", "text"), "near-texts")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have ``threshold`` or more in common."""
     per_mille = round(threshold * 1000)
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = written(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), "near-texts")
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
     with_b = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
 
@@ -165,9 +178,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, threshold: float) -> Da
             ok = (total > 0) & (1000 * common >= per_mille * total)
             yield part.select(["a", "b"]).filter(pa.array(ok))
 
-    out = written(with_b.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct(), "near-links")
-    discard(texts)
-    return out
+    return written(with_b.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct(), "near-links")
 
 
 def _step(rows: DataFrame, n_hashes: int, level: int, branches: int) -> DataFrame:
@@ -194,11 +205,13 @@ def _blocks(nodes: DataFrame) -> DataFrame:
     return own.union(fixed)
 
 
-def _candidates(blocks: DataFrame, sketches: DataFrame, labels: DataFrame | None, least: float) -> DataFrame:
+def _candidates(blocks: DataFrame, sketches: DataFrame, labels: DataFrame | None, threshold: float, hashes: int) -> DataFrame:
+    """Pairs (a, b), a < b. What is 4 standard deviations of the estimate below the threshold is excluded."""
+    least = threshold - 4 * (threshold * (1 - threshold) / hashes) ** 0.5
     rows = blocks.join(sketches, "id")
     rows = rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")) if labels is not None else rows.withColumn("label", F.col("id"))
     rows = rows.select("node", "id", "label", "sketch").repartition("node").sortWithinPartitions("node")
-    return rows.mapInArrow(_compare(least, labels is not None), "a long, b long").distinct()
+    return rows.mapInArrow(_compare(least, labels is not None, hashes), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -214,18 +227,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> Data
     """
     base = with_columns_of(docs, {"doc_id": "long", "text": "string"}).withColumn("text", text_or_empty())
     sigs = written(signatures(base, n), "near-signatures")
-    least = threshold - 4.5 * (threshold * (1 - threshold) / N_HASHES) ** 0.5
     classes = sigs.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("id")).select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "id")
-    reps = written(sigs.join(classes, (F.col("doc_id") == F.col("id")) & (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2"))).select("id", "mins", "sketch").dropDuplicates(["id"]), "near-classes")
-    sketches = reps.select("id", "sketch")
+    reps = written(sigs.join(classes, (F.col("doc_id") == F.col("id")) & (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2"))).dropDuplicates(["doc_id", "d1", "d2"]).select("id", "mins", "sketch", "fine"), "near-classes")
     named = base.filter("doc_id is not null")
 
     root = reps.select(F.explode(F.sequence(F.lit(0), F.lit(ROOT - 1))).alias("k"), "id", "mins")
     pos = F.pmod(F.xxhash64("k"), F.lit(N_HASHES)).cast("int")
     rows = root.select(F.xxhash64("k", F.get("mins", pos)).alias("node"), "id", F.col("id").alias("label"))
     first = written(_nodes(rows), "near-level-1")
-    pairs = written(_candidates(_blocks(first), sketches, None, least), "near-pairs")
-    links = confirmed(pairs, named, n, threshold)
+    pairs = written(_candidates(_blocks(first), reps.select("id", "sketch"), None, threshold, N_HASHES), "near-pairs")
+    ids = written(_ids(pairs), "near-ids")
+    texts = _texts(named, ids)
+    links = confirmed(pairs, texts, n, threshold)
     labels = components(links).withColumnRenamed("component", "label")
 
     parts, level, frontier = [], 1, first.select("node", "id")
@@ -238,10 +251,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> Data
             break
         level += 1
         frontier = _step(large.select("node", "id", "label").join(reps.select("id", "mins"), "id"), N_HASHES, level, 2 if level == 2 else 1).select("node", "id")
-    more = _candidates(reduce(DataFrame.union, parts), sketches, labels, least).join(pairs, ["a", "b"], "left_anti")
-    more = written(more, "near-pairs")
+    more = written(_candidates(reduce(DataFrame.union, parts), reps.select("id", F.col("fine").alias("sketch")), labels, threshold, N_FINE).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
     if more.limit(1).count():
-        found = confirmed(more, named, n, threshold)
+        rest = written(_ids(more).join(ids, "doc_id", "left_anti"), "near-ids")
+        found = confirmed(more, texts.union(_texts(named, rest)) if rest.limit(1).count() else texts, n, threshold)
         if found.limit(1).count():
             labels = components(links.union(found)).withColumnRenamed("component", "label")
 
