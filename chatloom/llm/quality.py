@@ -117,25 +117,37 @@ class Ratio:
         return np.bincount(of, self.table[bucket], minlength=n) / np.maximum(size, 1)
 
 
-def _with_trust(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    base = with_columns_of(docs, {"doc_id": "long", "text": "string"}).withColumn("text", text_or_empty())
-    good = with_columns_of(labels, {"doc_id": "long", "quality": "int"}).filter("doc_id is not null").groupBy(F.col("doc_id").alias("l_id")).agg(F.min("quality").alias("quality"))
-    return base.join(good.filter("quality = 1"), F.col("doc_id") == F.col("l_id"), "left").select("doc_id", "text", F.col("quality").isNotNull().alias("trusted"))
+#: The trusted multinomial and the threshold are fitted on so many trusted texts at most.
+MAX_TRUSTED = 20_000
+
 
+def trusted_ids(labels: DataFrame, most: int = MAX_TRUSTED, seed: int = 0) -> np.ndarray:
+    """Sorted ids whose labels all have quality 1; of more than ``most``, those with the smallest hashes."""
+    good = with_columns_of(labels, {"doc_id": "long", "quality": "int"}).filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    rows = good.filter("quality = 1").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(most).select("doc_id").collect()
+    return np.sort(np.array([r["doc_id"] for r in rows], np.int64))
 
-def fitted(docs: DataFrame, labels: DataFrame, keep_share: float = 0.98, slack: float = 0.25) -> tuple[Ratio, float]:
+
+def fitted(docs: DataFrame, labels: DataFrame, keep_share: float = 0.98, slack: float = 0.25, max_trusted: int = MAX_TRUSTED) -> tuple[Ratio, float]:
     """The ratio table, and the threshold: the ratio that ``keep_share`` of the trusted texts reach, less ``slack``.
 
-    Trusted are the texts whose labels all have quality 1. Both passes read all texts.
+    The raw counts are of all texts; trusted is a bounded sample of labelled ones (see ``trusted_ids``).
     """
-    rows = _with_trust(docs, labels)
+    rows = with_columns_of(docs, {"doc_id": "long", "text": "string"}).withColumn("text", text_or_empty())
+    ids = trusted_ids(labels, max_trusted)
+
+    def in_sample(part: pa.RecordBatch) -> np.ndarray:
+        own = part.column("doc_id")
+        value = own.fill_null(-1).to_numpy()
+        at = np.minimum(np.searchsorted(ids, value), max(len(ids) - 1, 0))
+        return (ids[at] == value if len(ids) else np.zeros(len(value), bool)) & own.is_valid().to_numpy(zero_copy_only=False)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, trusted = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for part, data, offs in grid.pieces(batches, "text"):
             bucket, of = features(data, offs, *grid.words(data, offs))
             raw += np.bincount(bucket, minlength=BUCKETS)
-            trusted += np.bincount(bucket[part.column("trusted").to_numpy(zero_copy_only=False)[of]], minlength=BUCKETS)
+            trusted += np.bincount(bucket[in_sample(part)[of]], minlength=BUCKETS)
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_pydict({"bucket": some, "raw": raw[some], "trusted": trusted[some]}, pa.schema([("bucket", pa.int64()), ("raw", pa.int64()), ("trusted", pa.int64())]))
 
@@ -152,7 +164,10 @@ def fitted(docs: DataFrame, labels: DataFrame, keep_share: float = 0.98, slack:
         some = np.flatnonzero(bins)
         yield pa.RecordBatch.from_pydict({"bin": some, "n": bins[some]}, pa.schema([("bin", pa.int64()), ("n", pa.int64())]))
 
-    found = rows.filter("trusted and text <> ''").mapInArrow(spread, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toPandas().sort_values("bin")
+    # At most max_trusted ids, so this is a broadcast.
+    chosen = docs.sparkSession.createDataFrame([(int(i),) for i in ids], "doc_id long")
+    sample = rows.filter("text <> ''").join(F.broadcast(chosen), "doc_id", "left_semi")
+    found = sample.mapInArrow(spread, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toPandas().sort_values("bin")
     if not len(found):
         return ratio, -np.inf
     upto = found["n"].cumsum().to_numpy()
