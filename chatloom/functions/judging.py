@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .text import strip
 
@@ -26,7 +27,7 @@ def pairwise_answer(x) -> Column:
     return F.upper(F.coalesce(F.try_element_at(stated, F.lit(-1)), F.try_element_at(bare, F.lit(1)), word, first))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def first_object(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """The first balanced JSON object of a text, without fences (Arrow batches: a scan that keeps count of braces)."""
     import json

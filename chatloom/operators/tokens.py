@@ -8,6 +8,7 @@ from itertools import combinations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ..functions import text as T
 from ..functions.prompts import sample_text
@@ -16,7 +17,7 @@ from ..functions.prompts import sample_text
 def encoder(count: Callable[[str], int]) -> Callable[[Column], Column]:
     """A column function of a Python tokenizer's length function, in Arrow batches."""
 
-    @F.pandas_udf("long")
+    @F.pandas_udf(LongType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for x in batches:
             yield x.map(lambda s: len(count(s or "")) if not isinstance(count(""), int) else count(s or ""))
