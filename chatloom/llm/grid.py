@@ -51,7 +51,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 <<
         lo = 0
         while lo < len(col):
             hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + max_bytes, "right")) - 1)
-            hi = min(hi, len(col), lo + 20000)
+            hi = min(hi, len(col), lo + 5000)
             yield batch.slice(lo, hi - lo), data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
             lo = hi
 

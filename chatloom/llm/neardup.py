@@ -13,8 +13,8 @@ root, eight choices miss a pair at the threshold 0.85 with less than 1e-6.
 
 *Small nodes* are compared exhaustively by 8-bit sketches of the signature, and
 what a sketch can't exclude is confirmed on the full shingle sets.  After the
-first level the sketches have four times as many hashes, so that of sets just
-below the threshold few are left to confirm.
+first level the sketches have eight times as many hashes, of four bits, so that
+of sets just below the threshold few are left to confirm.
 
 *Large nodes.*  The links of the first level are confirmed and joined to
 components first.  From then on only nodes with documents of more than one
@@ -36,11 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import grid
-from .common import text_or_empty, with_columns_of, written
+from .common import discard, free_shuffles, text_or_empty, with_columns_of, written
 from .graph import components
 
-#: Hashes that nodes split by, and whose low bytes are the sketch of the first level; and of the finer sketch after it.
-N_HASHES, N_FINE = 128, 512
+#: Hashes that nodes split by, and whose low bytes are the sketch of the first level; and those whose low
+#: four bits are the finer sketch after it.
+N_HASHES, N_FINE = 128, 1024
 #: Root choices (trees by branches), members of a small node, deepest level.
 ROOT, LEAF, DEEPEST = 8, 24, 16
 _FACTORS = np.random.default_rng(7).integers(1, 2**63, N_FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -59,7 +60,7 @@ def _shingle_sets(data: np.ndarray, offs: np.ndarray, n: int) -> list[np.ndarray
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, d1 and d2 (a 128-bit digest of the shingle set), mins (array of 32-bit minwise hashes), sketch (their low bytes) and fine (those of more hashes)."""
+    """doc_id, n_shingles, d1 and d2 (a 128-bit digest of the shingle set), mins (array of 32-bit minwise hashes), sketch (their low bytes) and fine (four bits of more hashes)."""
     schema = "doc_id long, n_shingles long, d1 long, d2 long, mins array<int>, sketch binary, fine binary"
     arrow = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("mins", pa.list_(pa.int32())), ("sketch", pa.binary()), ("fine", pa.binary())])
 
@@ -82,12 +83,23 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                     digest[k, some] = grid.mix(np.add.reduceat(grid.mix(flat + _FACTORS[k]), first) + size[some].astype(np.uint64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * N_HASHES, pa.int32()), pa.array(np.ascontiguousarray(mins[:, :N_HASHES]).ravel().view(np.int32)))
             low = mins.astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), *(pa.array(x.view(np.int64)) for x in digest), lists, fixed(low[:, :N_HASHES]), fixed(low)], schema=arrow)
+            fine = (low[:, ::2] & 15) | (low[:, 1::2] << 4)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), *(pa.array(x.view(np.int64)) for x in digest), lists, fixed(low[:, :N_HASHES]), fixed(fine)], schema=arrow)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _compare(least: float, across: bool, hashes: int):
+#: Hashes that agree, by the exclusive or of two bytes of four bits each.
+_NIBBLES = ((np.arange(256) & 15) == 0).astype(np.uint16) + ((np.arange(256) >> 4) == 0).astype(np.uint16)
+
+
+def _similarity(x: np.ndarray, y: np.ndarray, fine: bool) -> np.ndarray:
+    """Estimates of Jaccard similarities from rows of sketches, less what agrees by chance."""
+    p, chance = (_NIBBLES[x ^ y].sum(axis=1) / N_FINE, 1 / 16) if fine else ((x == y).sum(axis=1) / N_HASHES, 1 / 256)
+    return (p - chance) / (1 - chance)
+
+
+def _compare(least: float, across: bool):
     """Pairs of rows of a node that the sketches don't exclude: of a node a spanning
     forest of the most similar, or (across) all pairs with different labels."""
 
@@ -101,7 +113,7 @@ def _compare(least: float, across: bool, hashes: int):
             i = i[(ids[i] != ids[i + k]) & ((label[i] != label[i + k]) if across else True)]
             for lo in range(0, len(i), 20000):
                 j = i[lo : lo + 20000]
-                est = (sketch[j] == sketch[j + k]).sum(axis=1) / hashes
+                est = _similarity(sketch[j], sketch[j + k], across)
                 ok = est >= least
                 left.append(j[ok])
                 right.append(j[ok] + k)
@@ -127,7 +139,7 @@ def _compare(least: float, across: bool, hashes: int):
         return np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, width = None, N_FINE // 2 if across else N_HASHES
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
         def out(rows):
@@ -140,7 +152,7 @@ def _compare(least: float, across: bool, hashes: int):
             if not batch.num_rows:
                 continue
             col = batch.column("sketch")
-            bits = np.frombuffer(col.buffers()[2], np.uint8)[col.offset * hashes : (col.offset + len(col)) * hashes].reshape(-1, hashes)
+            bits = np.frombuffer(col.buffers()[2], np.uint8)[col.offset * width : (col.offset + len(col)) * width].reshape(-1, width)
             rows = [batch.column(c).to_numpy() for c in ("node", "id", "label")] + [bits]
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
@@ -205,13 +217,15 @@ def _blocks(nodes: DataFrame) -> DataFrame:
     return own.union(fixed)
 
 
-def _candidates(blocks: DataFrame, sketches: DataFrame, labels: DataFrame | None, threshold: float, hashes: int) -> DataFrame:
+def _candidates(blocks: DataFrame, sketches: DataFrame, labels: DataFrame | None, threshold: float) -> DataFrame:
     """Pairs (a, b), a < b. What is 4 standard deviations of the estimate below the threshold is excluded."""
-    least = threshold - 4 * (threshold * (1 - threshold) / hashes) ** 0.5
+    chance, hashes = (1 / 16, N_FINE) if labels is not None else (1 / 256, N_HASHES)
+    p = threshold + (1 - threshold) * chance
+    least = threshold - 4 * (p * (1 - p) / hashes) ** 0.5 / (1 - chance)
     rows = blocks.join(sketches, "id")
     rows = rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")) if labels is not None else rows.withColumn("label", F.col("id"))
     rows = rows.select("node", "id", "label", "sketch").repartition("node").sortWithinPartitions("node")
-    return rows.mapInArrow(_compare(least, labels is not None, hashes), "a long, b long").distinct()
+    return rows.mapInArrow(_compare(least, labels is not None), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -229,17 +243,22 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> Data
     sigs = written(signatures(base, n), "near-signatures")
     classes = sigs.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("id")).select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), "id")
     reps = written(sigs.join(classes, (F.col("doc_id") == F.col("id")) & (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2"))).dropDuplicates(["doc_id", "d1", "d2"]).select("id", "mins", "sketch", "fine"), "near-classes")
+    thin = written(sigs.select("doc_id", "n_shingles", "d1", "d2"), "near-digests")
+    classes = written(classes, "near-representatives")
+    discard(sigs)
+    free_shuffles(docs.sparkSession)
     named = base.filter("doc_id is not null")
 
     root = reps.select(F.explode(F.sequence(F.lit(0), F.lit(ROOT - 1))).alias("k"), "id", "mins")
     pos = F.pmod(F.xxhash64("k"), F.lit(N_HASHES)).cast("int")
     rows = root.select(F.xxhash64("k", F.get("mins", pos)).alias("node"), "id", F.col("id").alias("label"))
     first = written(_nodes(rows), "near-level-1")
-    pairs = written(_candidates(_blocks(first), reps.select("id", "sketch"), None, threshold, N_HASHES), "near-pairs")
+    pairs = written(_candidates(_blocks(first), reps.select("id", "sketch"), None, threshold), "near-pairs")
     ids = written(_ids(pairs), "near-ids")
     texts = _texts(named, ids)
     links = confirmed(pairs, texts, n, threshold)
     labels = components(links).withColumnRenamed("component", "label")
+    free_shuffles(docs.sparkSession)
 
     parts, level, frontier = [], 1, first.select("node", "id")
     while True:
@@ -251,14 +270,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> Data
             break
         level += 1
         frontier = _step(large.select("node", "id", "label").join(reps.select("id", "mins"), "id"), N_HASHES, level, 2 if level == 2 else 1).select("node", "id")
-    more = written(_candidates(reduce(DataFrame.union, parts), reps.select("id", F.col("fine").alias("sketch")), labels, threshold, N_FINE).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    more = written(_candidates(reduce(DataFrame.union, parts), reps.select("id", F.col("fine").alias("sketch")), labels, threshold).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
     if more.limit(1).count():
         rest = written(_ids(more).join(ids, "doc_id", "left_anti"), "near-ids")
         found = confirmed(more, texts.union(_texts(named, rest)) if rest.limit(1).count() else texts, n, threshold)
         if found.limit(1).count():
             labels = components(links.union(found)).withColumnRenamed("component", "label")
 
-    own = sigs.select("doc_id", "n_shingles", "d1", "d2").join(classes.withColumnRenamed("id", "rep"), (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
+    own = thin.join(classes.withColumnRenamed("id", "rep"), (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
     out = own.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").withColumn("component_id", F.coalesce("label", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
