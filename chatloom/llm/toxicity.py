@@ -24,6 +24,8 @@ LENGTH, STRIDE = 32, 16
 MAX_POSITIVE, MAX_NEGATIVE, MAX_BYTES = 1500, 2500, 24 << 20
 #: Words of the word table, and in how many texts of the sample each must be.
 VOCABULARY, MIN_TEXTS = 20_000, 4
+#: Windows that a round of training goes through at least.
+LEAST_WINDOWS = 4000
 
 
 class Model:
@@ -98,7 +100,9 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 0, roun
         ids, mask = rnn.window_ids(word, start[pick], size[pick], LENGTH, len(h))
         target = y[of[pick]]
         weight = np.where(target > 0, 0.5 / max(target.mean(), 1e-6), 0.5 / max(1 - target.mean(), 1e-6)).astype(np.float32)
-        rnn.fit(net, ids, mask, rows, grams, first, target, weight, adam, seed=seed + k)
+        # Small samples are gone through more than once, so that the number of steps doesn't fall with them.
+        for again in range(min(12, max(1, LEAST_WINDOWS // len(pick)))):
+            rnn.fit(net, ids, mask, rows, grams, first, target, weight, adam, batch=64, seed=seed + k + 100 * again)
     raw = np.full(len(texts), -np.inf)
     np.maximum.at(raw, of, _window_logits(net, rows, grams, first, word, start, size, len(h)))
     held = np.isfinite(raw) & ~fit
