@@ -14,13 +14,13 @@ from ..functions import text as T
 from ..functions.prompts import sample_text
 
 
-def encoder(count: Callable[[str], int]) -> Callable[[Column], Column]:
-    """A column function of a Python tokenizer's length function, in Arrow batches."""
+def encoder(encode: Callable[[str], list]) -> Callable[[Column], Column]:
+    """The number of tokens that a Python tokenizer makes of a column, in Arrow batches."""
 
     @F.pandas_udf(LongType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for x in batches:
-            yield x.map(lambda s: len(count(s or "")) if not isinstance(count(""), int) else count(s or ""))
+            yield x.map(lambda s: len(encode(s or "")))
 
     return run
 
