@@ -2,7 +2,8 @@
 
 Candidates come from an exact prefix filter: if two sets have a Jaccard
 similarity of t, they share one of their rarest ``size - ceil(t * size) + 1``
-shingles.  Frequent shingles, whose postings would square, are hardly ever among those.
+shingles.  Frequent shingles, whose postings would square, are hardly ever among those.  Shingles are
+compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ def similar_pairs(texts: DataFrame, threshold: float = 0.85, n: int = 5) -> Data
 
     ``jaccard`` is at ``threshold`` or above; empty sets match nothing.
     """
-    s = texts.select("scope", "id", shingles(F.col("text"), n).alias("s")).withColumn("size", F.size("s")).filter("size > 0")
+    hashed = F.transform(shingles(F.col("text"), n), lambda x: F.xxhash64(x))
+    s = texts.select("scope", "id", hashed.alias("s")).withColumn("size", F.size("s")).filter("size > 0")
     rows = s.select("scope", "id", "size", F.explode("s").alias("x"))
     rarity = rows.groupBy("scope", "x").count()
     order = Window.partitionBy("scope", "id").orderBy("count", "x")
