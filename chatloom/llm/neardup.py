@@ -3,13 +3,14 @@
 A document is the set of its word shingles.  Documents with equal sets form a
 class; one of a class, the one with the smallest id, stands for it.
 
-*Chosen paths.*  A tree splits the documents recursively: a node picks a
-position of the minwise signature by its own hash, and the documents of the node
-that agree there go to the same child.  The root and the nodes of the second
-level pick two positions, so a document is in more than one child.  Two similar
-sets stay together with the probability of their similarity at each step, two
-that share only a common passage soon part.  Trees are independent; at the
-root, eight choices miss a pair at the threshold 0.85 with less than 1e-6.
+*Chosen paths.*  A tree splits the documents recursively: its root has a
+position of the minwise signature of its own, a later node picks positions by its
+own hash, and the documents of the node that agree at a position go to the same
+child.  Later nodes pick ``branches`` positions, more than one over the threshold,
+so a pair at the threshold that parts in one child mostly stays together in
+another, however deep the path is.  Two sets that share only a common passage soon
+part.  There are as many trees as miss a pair at the threshold, over whole paths of
+any length, with less than ``MISS``.
 
 *Small nodes* are compared exhaustively by 8-bit sketches of the signature, and
 what a sketch can't exclude is confirmed on the full shingle sets.  After the
@@ -17,16 +18,18 @@ first level the sketches have eight times as many hashes, of four bits, so that
 of sets just below the threshold few are left to confirm.
 
 *Large nodes.*  The links of the first level are confirmed and joined to
-components first.  From then on only nodes with documents of more than one
+components first; in that level the blocks of a large node are compared with two
+fixed members each.  From then on only nodes with documents of more than one
 component are worked on, and only pairs across components count: a large group
 of near copies is one component after the first level and is never expanded to
-pairs.  What remains descends until its nodes are small.  Until then every
-block of a large node is compared exhaustively together with two fixed members
-of the node, so no task ever holds a whole node.
+pairs.  A node descends while its children have clearly fewer such pairs than it
+has.  Otherwise, and when it is small, the node ends: all its pairs are compared, of
+a large one by pairs of blocks, so no task ever holds a whole node.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -42,8 +45,13 @@ from .graph import components
 #: Hashes that nodes split by, and whose low bytes are the sketch of the first level; and those whose low
 #: four bits are the finer sketch after it.
 N_HASHES, N_FINE = 128, 1024
-#: Root choices (trees by branches), members of a small node, deepest level.
-ROOT, LEAF, DEEPEST = 8, 24, 16
+#: Most probable miss of a pair at the threshold by the paths.
+MISS = 1e-6
+#: Members of a small node of the first level and after it, members of a block of a larger one, and the share of
+#: a node's pairs across components that its children may have for it to descend.
+LEAF, WHOLE, BLOCK, SHRINK = 24, 256, 2048, 0.75
+#: Positions of the roots, all different.
+_ROOTS = np.random.default_rng(11).permutation(N_HASHES).tolist()
 _FACTORS = np.random.default_rng(7).integers(1, 2**63, N_FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -89,28 +97,58 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-#: Hashes that agree, by the exclusive or of two bytes of four bits each.
-_NIBBLES = ((np.arange(256) & 15) == 0).astype(np.uint16) + ((np.arange(256) >> 4) == 0).astype(np.uint16)
+def branches(threshold: float) -> int:
+    """Positions that a node below the root picks; 0 below a threshold of 0.5, where no node descends."""
+    return 2 if threshold >= 0.8 else math.ceil(1.6 / threshold) if threshold >= 0.5 else 0
+
+
+def missed(threshold: float, trees: int) -> float:
+    """Probability that ``trees`` trees with paths of any length miss a pair with the similarity ``threshold``.
+
+    The pair agrees at some of the N_HASHES positions. Roots are drawn from them without repetition, later positions with.
+    """
+    total, b = 0.0, branches(threshold)
+    for agree in range(N_HASHES + 1):
+        share, lost = agree / N_HASHES, 0.0
+        for _ in range(400 if b else 0):
+            lost = (1 - share + share * lost) ** b
+        roots = sum(math.comb(trees, j) * math.comb(N_HASHES - trees, agree - j) * lost**j for j in range(max(0, agree - N_HASHES + trees), min(trees, agree) + 1))
+        total += roots * threshold**agree * (1 - threshold) ** (N_HASHES - agree)
+    return total
+
+
+def roots(threshold: float) -> list[int]:
+    """Positions of the roots of as many trees as miss less than MISS."""
+    for trees in range(1, N_HASHES + 1):
+        if missed(threshold, trees) < MISS:
+            return _ROOTS[:trees]
+    raise ValueError(f"the threshold {threshold} is too low for {N_HASHES} hashes")
 
 
 def _similarity(x: np.ndarray, y: np.ndarray, fine: bool) -> np.ndarray:
     """Estimates of Jaccard similarities from rows of sketches, less what agrees by chance."""
-    p, chance = (_NIBBLES[x ^ y].sum(axis=1) / N_FINE, 1 / 16) if fine else ((x == y).sum(axis=1) / N_HASHES, 1 / 256)
+    if fine:
+        v = x.view(np.uint64) ^ y.view(np.uint64)
+        v = (v | v >> np.uint64(1) | v >> np.uint64(2) | v >> np.uint64(3)) & np.uint64(0x1111111111111111)
+        p, chance = 1 - np.bitwise_count(v).sum(axis=1, dtype=np.int64) / N_FINE, 1 / 16
+    else:
+        p, chance = (x == y).sum(axis=1) / N_HASHES, 1 / 256
     return (p - chance) / (1 - chance)
 
 
 def _compare(least: float, across: bool):
     """Pairs of rows of a node that the sketches don't exclude: of a node a spanning
-    forest of the most similar, or (across) all pairs with different labels."""
+    forest of the most similar, or (across) all pairs with different labels; of rows
+    with a side that isn't 0, those from different sides."""
 
-    def pairs(node: np.ndarray, ids: np.ndarray, label: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def pairs(node: np.ndarray, ids: np.ndarray, label: np.ndarray, side: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left, right, score = [], [], []
         k = 1
         while k < len(node):
             i = np.flatnonzero(node[:-k] == node[k:])
             if not len(i):
                 break
-            i = i[(ids[i] != ids[i + k]) & ((label[i] != label[i + k]) if across else True)]
+            i = i[(ids[i] != ids[i + k]) & (((label[i] != label[i + k]) & ((side[i] == 0) | (side[i] != side[i + k]))) if across else True)]
             for lo in range(0, len(i), 20000):
                 j = i[lo : lo + 20000]
                 est = _similarity(sketch[j], sketch[j + k], across)
@@ -153,7 +191,7 @@ def _compare(least: float, across: bool):
                 continue
             col = batch.column("sketch")
             bits = np.frombuffer(col.buffers()[2], np.uint8)[col.offset * width : (col.offset + len(col)) * width].reshape(-1, width)
-            rows = [batch.column(c).to_numpy() for c in ("node", "id", "label")] + [bits]
+            rows = [batch.column(c).to_numpy() for c in ("node", "id", "label", "side")] + [bits]
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
             cut = int(np.searchsorted(rows[0], rows[0][-1], "left"))
@@ -193,11 +231,19 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> D
     return written(with_b.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct(), "near-links")
 
 
-def _step(rows: DataFrame, n_hashes: int, level: int, branches: int) -> DataFrame:
-    """Children: rows (node, id, label, mins) to (node, id, label) of the next level."""
-    pos = lambda k: F.pmod(F.xxhash64("node", F.lit(level), F.lit(k)), F.lit(n_hashes)).cast("int")
+def _step(rows: DataFrame, n_hashes: int, branches: int) -> DataFrame:
+    """Children: rows (node, id, label, mins) to (parent, node, id, label) of the next level; a node's positions are different."""
+    first = F.pmod(F.xxhash64("node"), F.lit(n_hashes)).cast("int")
+    stride = 2 * F.pmod(F.xxhash64("node", F.lit(1)), F.lit(n_hashes // 2)).cast("int") + 1
+    pos = lambda k: F.pmod(first + k * stride, F.lit(n_hashes))
     child = lambda k: F.xxhash64("node", pos(k), F.get("mins", pos(k)))
-    return rows.select(F.explode(F.array(*[child(k) for k in range(branches)])).alias("node"), "id", "label")
+    return rows.select(F.col("node").alias("parent"), F.explode(F.array(*[child(k) for k in range(branches)])).alias("node"), "id", "label")
+
+
+def _crossing(rows: DataFrame, *node: str) -> DataFrame:
+    """Per node: pairs, how many pairs of its rows have different labels."""
+    own = rows.groupBy(*node, "label").agg(F.count("*").alias("c"))
+    return own.groupBy(*node).agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"))
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
@@ -207,14 +253,22 @@ def _nodes(rows: DataFrame) -> DataFrame:
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
-    """Rows (node, id) to compare: small nodes as they are, large ones in blocks with two fixed members each."""
+    """Rows (node, id, side) of the first level to compare: small nodes as they are, large ones in blocks with two fixed members each."""
     blocks = F.ceil(F.col("n") / LEAF).cast("int")
     block = F.when(F.col("n") <= LEAF, F.lit(0)).otherwise(F.pmod(F.xxhash64("id", "node"), blocks).cast("int"))
     own = nodes.select(F.xxhash64("node", block).alias("node"), "id")
     fixed = nodes.filter((F.col("n") > LEAF) & (F.col("id") == F.col("low"))).select("node", "low", "high", "n").distinct()
     fixed = fixed.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
     fixed = fixed.select(F.xxhash64("node", "block").alias("node"), F.explode(F.array("low", "high")).alias("id"))
-    return own.union(fixed)
+    return own.union(fixed).withColumn("side", F.lit(0))
+
+
+def _all_pairs(nodes: DataFrame) -> DataFrame:
+    """Rows (node, id, side) to compare all pairs of nodes: one group of rows a node, or one a pair of its blocks."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = nodes.withColumn("own", F.pmod(F.xxhash64("id", "node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    return rows.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "id", side.alias("side"))
 
 
 def _candidates(blocks: DataFrame, sketches: DataFrame, labels: DataFrame | None, threshold: float) -> DataFrame:
@@ -224,7 +278,7 @@ def _candidates(blocks: DataFrame, sketches: DataFrame, labels: DataFrame | None
     least = threshold - 4 * (p * (1 - p) / hashes) ** 0.5 / (1 - chance)
     rows = blocks.join(sketches, "id")
     rows = rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")) if labels is not None else rows.withColumn("label", F.col("id"))
-    rows = rows.select("node", "id", "label", "sketch").repartition("node").sortWithinPartitions("node")
+    rows = rows.select("node", "id", "label", "side", "sketch").repartition("node").sortWithinPartitions("node")
     return rows.mapInArrow(_compare(least, labels is not None), "a long, b long").distinct()
 
 
@@ -249,9 +303,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> Data
     free_shuffles(docs.sparkSession)
     named = base.filter("doc_id is not null")
 
-    root = reps.select(F.explode(F.sequence(F.lit(0), F.lit(ROOT - 1))).alias("k"), "id", "mins")
-    pos = F.pmod(F.xxhash64("k"), F.lit(N_HASHES)).cast("int")
-    rows = root.select(F.xxhash64("k", F.get("mins", pos)).alias("node"), "id", F.col("id").alias("label"))
+    at = roots(threshold)
+    root = reps.select(F.posexplode(F.array(*[F.get("mins", F.lit(k)) for k in at])).alias("k", "min"), "id")
+    rows = root.select(F.xxhash64("k", "min").alias("node"), "id", F.col("id").alias("label"))
     first = written(_nodes(rows), "near-level-1")
     pairs = written(_candidates(_blocks(first), reps.select("id", "sketch"), None, threshold), "near-pairs")
     ids = written(_ids(pairs), "near-ids")
@@ -264,12 +318,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> Data
     while True:
         nodes = frontier.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         nodes = written(_nodes(nodes.select("node", "id", "label")), f"near-open-{level}")
-        parts.append(_blocks(nodes))
-        large = nodes.filter(F.col("n") > LEAF)
-        if level >= DEEPEST or not large.limit(1).count():
+        parts.append(_all_pairs(nodes.filter(F.col("n") <= WHOLE)))
+        large = nodes.filter(F.col("n") > WHOLE)
+        if not branches(threshold):
+            parts.append(_all_pairs(large))
+            break
+        if not large.limit(1).count():
             break
         level += 1
-        frontier = _step(large.select("node", "id", "label").join(reps.select("id", "mins"), "id"), N_HASHES, level, 2 if level == 2 else 1).select("node", "id")
+        children = written(_step(large.select("node", "id", "label").join(reps.select("id", "mins"), "id"), N_HASHES, branches(threshold)), f"near-children-{level}")
+        below = _crossing(children, "parent", "node").groupBy(F.col("parent").alias("node")).agg(F.sum("pairs").alias("below"))
+        down = written(_crossing(large, "node").join(below, "node").filter(F.col("below") <= SHRINK * F.col("pairs")).select("node"), f"near-down-{level}")
+        parts.append(_all_pairs(large.join(down, "node", "left_anti")))
+        frontier = children.join(down.withColumnRenamed("node", "parent"), "parent", "left_semi").select("node", "id")
     more = written(_candidates(reduce(DataFrame.union, parts), reps.select("id", F.col("fine").alias("sketch")), labels, threshold).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
     if more.limit(1).count():
         rest = written(_ids(more).join(ids, "doc_id", "left_anti"), "near-ids")

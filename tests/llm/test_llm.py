@@ -94,6 +94,26 @@ def test_near_duplicates(spark, odd, none):
     assert neardup.deduplicated(odd).columns == odd.columns
 
 
+def test_near_copies_within_a_large_template(spark, monkeypatch):
+    """Texts alike by a template, but under the threshold, and a near copy of each: every pair is found, also by nodes that descend and by pairs of blocks."""
+    for name, value in (("LEAF", 2), ("WHOLE", 16), ("BLOCK", 64)):
+        monkeypatch.setattr(neardup, name, value, raising=False)
+    g, shared, rows = random.Random(4), [f"t{i}" for i in range(84)], []
+    for k in range(300):
+        own = [f"o{k}x{i}" for i in range(16)]
+        rows += [(2 * k, " ".join(shared + own)), (2 * k + 1, " ".join(g.sample(shared, 76) + own[:11] + [f"p{k}", f"q{k}"]))]
+    out = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n=1, threshold=0.85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {i: i - i % 2 for i, _ in rows}
+
+
+def test_near_duplicate_paths():
+    for threshold in (0.3, 0.5, 0.8, 0.85, 0.95):
+        at = neardup.roots(threshold)
+        assert len(set(at)) == len(at) and neardup.missed(threshold, len(at)) < neardup.MISS
+    with pytest.raises(ValueError):
+        neardup.roots(0.05)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(30)] + [(50, 51), (51, 51), (None, 3), (50, 51)], "a long, b long")
     got = {r["id"]: r["component"] for r in components(links).collect()}
