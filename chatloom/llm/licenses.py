@@ -7,6 +7,7 @@ order, contain that list without another known sentence between.
 
 Everything happens within a row: no join, no shuffle.  A text is looked at
 only if it has one of the anchor words, of which every known sentence has one.
+A sentence that the cut itself divides ("v. 2.0") is known as a whole.
 """
 
 from __future__ import annotations
@@ -88,13 +89,26 @@ def _plain(sentence: str) -> str:
 
 
 def _known(sentences: dict[str, str]) -> dict[str, str]:
-    """Pieces of the known sentences, normalised, to identifiers; a sentence that
-    the cut divides is known by its last piece."""
+    """Pieces of the known sentences, normalised, to identifiers, as the SQL knows them; a sentence that
+    the cut divides is known there by its last piece."""
     import re
 
     return {_plain(re.sub(CUT, r"\1\n", s).split("\n")[-1]): k for k, s in sentences.items()}
 
 
+def _keys(sentences: dict[str, str], anchors: str) -> dict[str, str]:
+    """Known sentences to identifiers, normalised, with ! where the cut divides them; also the last
+    pieces of divided ones that have an anchor word."""
+    import re
+
+    tails = {s: k for s, k in _known(sentences).items() if re.search(anchors, s)}
+    return tails | {" ! ".join(_plain(x) for x in re.sub(CUT, r"\1\n", s).split("\n")): k for k, s in sentences.items()}
+
+
+#: What may stand between two words of a sentence, and where the cut divides a known sentence.
+INSIDE, DIVIDED = " ", "(?: [|!])* "
+
+
 def recognise(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None, anchors: str = ANCHORS) -> DataFrame:
     """The documents with known sentences: doc_id, sentence_ids (array, in text order)
     and licenses (array of structs license, rule, matches; longer rules first).
@@ -103,15 +117,18 @@ def recognise(docs: DataFrame, sentences: dict[str, str] | None = None, rules: l
     null or empty text has none. Repeated rows and null ids give rows of their
     own. The dictionary is part of the plan, so keep it to some hundred sentences.
     """
-    known = _known(sentences or SENTENCES)
+    known = _keys(sentences or SENTENCES, anchors)
     number = {k: f"<{i}>" for i, k in enumerate(dict.fromkeys(known.values()))}
-    table = F.create_map(*[x for s, k in known.items() for x in (F.lit(s), F.lit(k))])
+    table = F.create_map(*[x for s, k in {s.replace(" !", ""): k for s, k in known.items()}.items() for x in (F.lit(s), F.lit(k))])
+    some = "|".join(DIVIDED.join(x.replace(" ", INSIDE) for x in s.split(" ! ")) for s in sorted(known, key=len, reverse=True))
     base = with_columns_of(docs, {"doc_id": "long", "text": "string"}).withColumn("text", text_or_empty())
     base = base.filter(F.lower("text").rlike(anchors))
-    pieces = F.split(F.regexp_replace("text", CUT, "$1\n"), "\n")
-    pieces = F.filter(pieces, lambda s: F.lower(s).rlike(anchors))
-    plain = F.transform(pieces, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    found = base.select("doc_id", F.filter(F.transform(plain, lambda s: F.try_element_at(table, s)), lambda k: k.isNotNull()).alias("sentence_ids"))
+    # Words with single spaces, | for a line's end and ! for another end of a sentence.
+    marked = F.regexp_replace(F.translate("text", "|!", "  "), CUT, "$1 ! ")
+    plain = F.regexp_replace(F.lower(F.regexp_replace(marked, "\n", " | ")), "[^a-z0-9|!]+", " ")
+    whole = F.regexp_extract_all(F.concat(F.lit("| "), F.trim(plain), F.lit(" |")), F.lit(f"(?<=[|!] )(?:{some})(?= [|!]| https? )"), F.lit(0))
+    ids = F.transform(whole, lambda s: F.try_element_at(table, F.regexp_replace(s, " [|!]", "")))
+    found = base.select("doc_id", F.filter(ids, lambda k: k.isNotNull()).alias("sentence_ids"))
     found = found.filter(F.size("sentence_ids") > 0)
     tokens = F.create_map(*[F.lit(x) for k, n in number.items() for x in (k, n)])
     found = found.withColumn("rest", F.array_join(F.transform("sentence_ids", lambda k: F.element_at(tokens, k)), ""))

@@ -178,6 +178,13 @@ def test_licenses(spark, none):
     assert licenses.license_rows(none).count() == 0
 
 
+def test_every_license_rule_fires_on_its_own_text(spark):
+    rules = list(enumerate(licenses.RULES))
+    rows = [(i, "Code.\n" + ".\n".join(licenses.SENTENCES[k] for k in ids) + ".\nEnd") for i, (_, ids) in rules]
+    got = {(r["doc_id"], r["license"], r["rule"], r["matches"]) for r in licenses.license_rows(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(i, name, " ".join(ids), 1) for i, (name, ids) in rules}
+
+
 def test_language(spark, odd, none):
     lex = {"en": "the and of with that this".split(), "de": "der und von mit dass dieser".split()}
     g = random.Random(3)
