@@ -7,7 +7,8 @@ order, contain that list without another known sentence between.
 
 Everything happens within a row: no join, no shuffle.  A text is looked at
 only if it has one of the anchor words, of which every known sentence has one.
-A sentence that the cut itself divides ("v. 2.0") is known as a whole.
+A sentence that the cut itself divides ("v. 2.0") is known as a whole, and a known
+sentence may be wrapped over lines, with or without comment marks.
 """
 
 from __future__ import annotations
@@ -105,8 +106,8 @@ def _keys(sentences: dict[str, str], anchors: str) -> dict[str, str]:
     return tails | {" ! ".join(_plain(x) for x in re.sub(CUT, r"\1\n", s).split("\n")): k for k, s in sentences.items()}
 
 
-#: What may stand between two words of a sentence, and where the cut divides a known sentence.
-INSIDE, DIVIDED = " ", "(?: [|!])* "
+#: What may stand between two words of a sentence (line ends of wrapped notices; comment marks are no words), and where the cut divides a known sentence.
+INSIDE, DIVIDED = "(?: [|])* ", "(?: [|!])* "
 
 
 def recognise(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None, anchors: str = ANCHORS) -> DataFrame:

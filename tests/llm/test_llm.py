@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -185,6 +186,17 @@ def test_every_license_rule_fires_on_its_own_text(spark):
     assert got == {(i, name, " ".join(ids), 1) for i, (name, ids) in rules}
 
 
+def test_wrapped_licenses(spark):
+    """Every rule on its own text, hard-wrapped behind comment marks."""
+    rules, rows = list(enumerate(licenses.RULES)), []
+    for mark in ("", "# ", " * ", "// "):
+        for i, (_, ids) in rules:
+            text = ". ".join(licenses.SENTENCES[k] for k in ids) + "."
+            rows.append((len(rows), "Code.\n" + "\n".join(mark + x for x in textwrap.wrap(text, 40)) + "\nEnd"))
+    got = {(r["doc_id"], r["license"], r["rule"], r["matches"]) for r in licenses.license_rows(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(i + len(rules) * m, name, " ".join(ids), 1) for m in range(4) for i, (name, ids) in rules}
+
+
 def test_language(spark, odd, none):
     lex = {"en": "the and of with that this".split(), "de": "der und von mit dass dieser".split()}
     g = random.Random(3)
