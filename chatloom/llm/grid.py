@@ -20,6 +20,8 @@ _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.ones(1, np.uint64)
+#: Bytes that are hashed at once.
+SPAN = 1 << 20
 
 
 def _powers(n: int) -> np.ndarray:
@@ -81,15 +83,28 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte ranges."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    lens = ends - starts
-    cum = np.concatenate([[0], np.cumsum(lens)])
-    pos = np.arange(cum[-1]) - np.repeat(cum[:-1], lens)
-    at = pos + np.repeat(starts, lens)
-    value = _BYTE[data[at]] * _powers(int(lens.max()))[pos]
-    return mix(np.add.reduceat(value, cum[:-1]) + lens.astype(np.uint64))
+    """64-bit hashes of the byte ranges. Works on SPAN bytes at a time, whatever the ranges' lengths."""
+    n, lens = len(starts), ends - starts
+    out, cum = np.zeros(n, np.uint64), np.concatenate([[0], np.cumsum(lens)])
+    powers, lo = _powers(SPAN), 0
+    while lo < n:
+        if lens[lo] > SPAN:
+            # The polynomial of a long range, from those of its parts.
+            total, scale = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+            for at in range(int(starts[lo]), int(ends[lo]), SPAN):
+                part = _BYTE[data[at : min(at + SPAN, int(ends[lo]))]]
+                total += (part * powers[: len(part)]).sum(dtype=np.uint64) * scale
+                scale = scale * (powers[SPAN - 1 : SPAN] * _STEP)
+            out[lo] = total[0]
+            lo += 1
+            continue
+        hi = max(lo + 1, int(np.searchsorted(cum, cum[lo] + SPAN, "right")) - 1)
+        first, size = cum[lo:hi] - cum[lo], lens[lo:hi]
+        pos = np.arange(cum[hi] - cum[lo]) - np.repeat(first, size)
+        value = _BYTE[data[pos + np.repeat(starts[lo:hi], size)]] * powers[pos]
+        out[lo:hi] = np.add.reduceat(value, first)
+        lo = hi
+    return mix(out + lens.astype(np.uint64))
 
 
 def lower(data: np.ndarray) -> np.ndarray:

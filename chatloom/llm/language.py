@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import grid
-from .common import remainder, text_or_empty, with_columns_of
+from .common import in_batches, remainder, text_or_empty, with_columns_of
 
 BUCKETS = 1 << 15
 #: The model is fitted on about so many texts, shared among the languages.
@@ -165,4 +165,4 @@ def languages(docs: DataFrame, model: Model | None = None, **kw) -> DataFrame:
             at, score = model.predict(data, offs)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(names[at], pa.string()), pa.array(score.astype(float))], schema=schema)
 
-    return base.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return in_batches(base, run, "doc_id long, held_out boolean, lang_pred string, score double")
