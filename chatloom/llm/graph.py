@@ -29,5 +29,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         labels = fresh.select("u", "label")
         labels._chatloom_path = fresh._chatloom_path
         if not moved:
-            return labels.select(F.col("u").alias("id"), F.col("label").alias("component"))
+            discard(both)
+            out = labels.select(F.col("u").alias("id"), F.col("label").alias("component"))
+            out._chatloom_path = fresh._chatloom_path
+            return out
     raise RuntimeError("the components didn't settle")
