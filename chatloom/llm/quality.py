@@ -1,11 +1,12 @@
 """Quality rules: a hashed n-gram log-likelihood ratio and simple counts.
 
-Two multinomials over hashed word unigrams and bigrams, with additive
-smoothing: one of trusted texts, one of the whole corpus.  A text's ratio is
-the mean, over its n-grams, of the difference of their log-probabilities; the
-threshold is fixed from the trusted texts' own ratios.  The counts of both
-cover all texts; they are vectors of a fixed number of buckets, added up by
-task before anything is sent on.
+Two multinomials over hashed n-grams (words, and pairs of neighbouring words'
+shapes), with additive smoothing: one of trusted texts, one of the whole corpus.
+A text's ratio is the mean, over its n-grams, of the difference of their
+log-probabilities.  The raw multinomial counts all texts, the trusted one a
+bounded sample of the labelled ones (``MAX_TRUSTED``); both are vectors of a fixed
+number of buckets, added up by task before anything is sent on.  The threshold is
+read from the ratios of all trusted texts.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import grid
-from .common import text_or_empty, with_columns_of
+from .common import discard, in_batches, text_or_empty, with_columns_of, written
 
 BUCKETS, WINDOW = 1 << 16, 8
 _SYMBOLS = np.zeros(256, bool)
@@ -59,14 +60,13 @@ def features(data: np.ndarray, offs: np.ndarray, starts: np.ndarray, ends: np.nd
 def counts(data: np.ndarray, offs: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> dict[str, np.ndarray]:
     """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of every text."""
     n = len(offs) - 1
-    text_of = np.repeat(np.arange(n), np.diff(offs))
-    letters = (data & 0xC0) != 0x80
     n_words = np.bincount(doc, minlength=n)
-    in_word = np.zeros(len(data) + 1, np.int64)
-    np.add.at(in_word, starts, 1)
-    np.add.at(in_word, ends, -1)
-    in_word = np.cumsum(in_word)[:-1] > 0
-    out = {"n_words": n_words, "word_chars": np.bincount(text_of[letters & in_word], minlength=n), "n_symbols": np.bincount(text_of[_SYMBOLS[data]], minlength=n)}
+
+    def per_text(is_so: np.ndarray) -> np.ndarray:
+        upto = np.concatenate([[0], np.cumsum(is_so, dtype=np.int64 if len(is_so) >> 31 else np.int32)])
+        return (upto[offs[1:]] - upto[offs[:-1]]).astype(np.int64)
+
+    out = {"n_words": n_words, "word_chars": per_text(~grid._SPACE[data] & ((data & 0xC0) != 0x80)), "n_symbols": per_text(_SYMBOLS[data])}
     # Lines with a word, by hash: all but the first of equal ones.
     dup = np.zeros(n, np.int64)
     if len(starts):
@@ -117,24 +117,20 @@ class Ratio:
         return np.bincount(of, self.table[bucket], minlength=n) / np.maximum(size, 1)
 
 
-#: The trusted multinomial and the threshold are fitted on so many trusted texts at most.
+#: The trusted multinomial is fitted on so many trusted texts at most.
 MAX_TRUSTED = 20_000
 
 
-def trusted_ids(labels: DataFrame, most: int = MAX_TRUSTED, seed: int = 0) -> np.ndarray:
-    """Sorted ids whose labels all have quality 1; of more than ``most``, those with the smallest hashes."""
+def trusted_labels(labels: DataFrame) -> DataFrame:
+    """doc_id of the ids whose labels all have quality 1; written."""
     good = with_columns_of(labels, {"doc_id": "long", "quality": "int"}).filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = good.filter("quality = 1").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(most).select("doc_id").collect()
-    return np.sort(np.array([r["doc_id"] for r in rows], np.int64))
-
+    return written(good.filter("quality = 1").select("doc_id"), "quality-trusted")
 
-def fitted(docs: DataFrame, labels: DataFrame, keep_share: float = 0.98, slack: float = 0.25, max_trusted: int = MAX_TRUSTED) -> tuple[Ratio, float]:
-    """The ratio table, and the threshold: the ratio that ``keep_share`` of the trusted texts reach, less ``slack``.
 
-    The raw counts are of all texts; trusted is a bounded sample of labelled ones (see ``trusted_ids``).
-    """
+def fitted(docs: DataFrame, trusted: DataFrame, max_trusted: int = MAX_TRUSTED, seed: int = 0) -> Ratio:
+    """The ratio table. The raw counts are of all texts; of more than ``max_trusted`` trusted ids, those with the smallest hashes count."""
     rows = with_columns_of(docs, {"doc_id": "long", "text": "string"}).withColumn("text", text_or_empty())
-    ids = trusted_ids(labels, max_trusted)
+    ids = np.sort(np.array([r["doc_id"] for r in trusted.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(max_trusted).collect()], np.int64))
 
     def in_sample(part: pa.RecordBatch) -> np.ndarray:
         own = part.column("doc_id")
@@ -143,57 +139,58 @@ def fitted(docs: DataFrame, labels: DataFrame, keep_share: float = 0.98, slack:
         return (ids[at] == value if len(ids) else np.zeros(len(value), bool)) & own.is_valid().to_numpy(zero_copy_only=False)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, trusted = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for part, data, offs in grid.pieces(batches, "text"):
             bucket, of = features(data, offs, *grid.words(data, offs))
             raw += np.bincount(bucket, minlength=BUCKETS)
-            trusted += np.bincount(bucket[in_sample(part)[of]], minlength=BUCKETS)
+            good += np.bincount(bucket[in_sample(part)[of]], minlength=BUCKETS)
         some = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_pydict({"bucket": some, "raw": raw[some], "trusted": trusted[some]}, pa.schema([("bucket", pa.int64()), ("raw", pa.int64()), ("trusted", pa.int64())]))
-
-    sums = rows.mapInArrow(add, "bucket long, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toPandas()
-    raw, trusted = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[sums["bucket"]], trusted[sums["bucket"]] = sums["raw"], sums["trusted"]
-    ratio = Ratio(trusted, raw)
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins = np.zeros(BINS, np.int64)
-        for _, data, offs in grid.pieces(batches, "text"):
-            x = ratio.of(data, offs, *grid.words(data, offs))
-            bins += np.bincount(np.clip(((x + LIMIT) / (2 * LIMIT) * BINS).astype(np.int64), 0, BINS - 1), minlength=BINS)
-        some = np.flatnonzero(bins)
-        yield pa.RecordBatch.from_pydict({"bin": some, "n": bins[some]}, pa.schema([("bin", pa.int64()), ("n", pa.int64())]))
-
-    # At most max_trusted ids, so this is a broadcast.
-    chosen = docs.sparkSession.createDataFrame([(int(i),) for i in ids], "doc_id long")
-    sample = rows.filter("text <> ''").join(F.broadcast(chosen), "doc_id", "left_semi")
-    found = sample.mapInArrow(spread, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toPandas().sort_values("bin")
+        yield pa.RecordBatch.from_pydict({"bucket": some, "raw": raw[some], "trusted": good[some]}, pa.schema([("bucket", pa.int64()), ("raw", pa.int64()), ("trusted", pa.int64())]))
+
+    sums = in_batches(rows, add, "bucket long, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toPandas()
+    raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    raw[sums["bucket"]], good[sums["bucket"]] = sums["raw"], sums["trusted"]
+    return Ratio(good, raw)
+
+
+def threshold_of(scored: DataFrame, trusted: DataFrame, keep_share: float = 0.98, slack: float = 0.25) -> float:
+    """The ratio that ``keep_share`` of all trusted texts with a word reach, to a bin's width, less ``slack``; none without such texts.
+
+    Only ids and ratios are joined with the labels.
+    """
+    bin_ = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.col("ratio") + LIMIT) / (2 * LIMIT) * BINS)))
+    rows = scored.filter("n_words > 0").select("doc_id", bin_.alias("bin")).join(trusted.hint("shuffle_hash"), "doc_id", "left_semi")
+    found = rows.groupBy("bin").agg(F.count("*").alias("n")).toPandas().sort_values("bin")
     if not len(found):
-        return ratio, -np.inf
+        return -np.inf
     upto = found["n"].cumsum().to_numpy()
     edge = found["bin"].to_numpy()[int(np.searchsorted(upto, (1 - keep_share) * upto[-1], "right"))]
-    return ratio, float(edge / BINS * 2 * LIMIT - LIMIT - slack)
+    return float(edge / BINS * 2 * LIMIT - LIMIT - slack)
 
 
-def quality(docs: DataFrame, labels: DataFrame, min_words: int = 20, max_repeat: float = 0.3, **kw) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, min_words: int = 20, max_repeat: float = 0.3, max_trusted: int = MAX_TRUSTED, **kw) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, kept.
 
     kept: not base_failed, and the ratio is at the threshold or above. Null
     texts are empty ones (base_failed). Without trusted texts there is no
     threshold. An empty table gives no row; repeated rows are rows of their own.
+    Other columns are ignored, whatever their names.
     """
-    ratio, threshold = fitted(docs, labels, **kw)
+    trusted = trusted_labels(labels)
+    ratio = fitted(docs, trusted, max_trusted)
     base = with_columns_of(docs, {"doc_id": "long", "text": "string"}).withColumn("text", text_or_empty())
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    schema = pa.schema([("doc_id", pa.int64()), *((x, pa.int64()) for x in names), ("base_failed", pa.bool_()), ("ratio", pa.float64()), ("kept", pa.bool_())])
+    schema = pa.schema([("doc_id", pa.int64()), *((x, pa.int64()) for x in names), ("base_failed", pa.bool_()), ("ratio", pa.float64())])
     per_mille = round(1000 * max_repeat)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in grid.pieces(batches, "text"):
             starts, ends, doc = grid.words(data, offs)
             c = counts(data, offs, starts, ends, doc)
-            x = ratio.of(data, offs, starts, ends, doc)
             failed = (c["n_words"] < min_words) | (1000 * c["n_repeat_words"] > per_mille * c["n_words"])
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c[k].astype(np.int64)) for k in names), pa.array(failed), pa.array(x), pa.array(~failed & (x >= threshold))], schema=schema)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c[k].astype(np.int64)) for k in names), pa.array(failed), pa.array(ratio.of(data, offs, starts, ends, doc))], schema=schema)
 
-    return base.mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, ratio double, kept boolean")
+    scored = written(in_batches(base, run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, ratio double"), "quality-scored")
+    least = threshold_of(scored, trusted, **kw)
+    discard(trusted)
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= F.lit(float(least))))
