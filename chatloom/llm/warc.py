@@ -8,7 +8,8 @@ alone.  ``read_archives`` reads records back through that index.
 
 Equal payloads are stored once: of the pages with equal payloads the one with
 the largest page_id is the response, the others are revisit records that name
-it.  All files lie in the shared folder; a task writes under a temporary name
+it.  Which is which is decided on ids and digests alone; of a revisit neither the
+payload is moved nor read again.  All files lie in the shared folder; a task writes under a temporary name
 and renames, so a task that runs again leaves the same files.
 """
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, with_columns_of, written
+from .common import delete, discard, in_batches, new_path, with_columns_of, written
 
 #: Fixed values of the WARC format.
 VERSION = b"WARC/1.1"
@@ -93,24 +94,24 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id, url, payload: bytes, sha: str, refers_to=None, revisit: bool = False) -> tuple[bytes, bytes]:
-    """Head and payload of a record. The HTTP head keeps the payload's full length in a revisit too."""
+def record(page_id, url, payload: bytes, sha: str, size: int, refers_to=None) -> tuple[bytes, bytes]:
+    """Head and payload of a record; a revisit (refers_to) has no payload. The HTTP head keeps the payload's full length in a revisit too."""
     url = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url) if url else f"urn:page:{page_id}"
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     lines = [
-        f"WARC-Type: {'revisit' if revisit else 'response'}",
+        f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(NAMESPACE, f'page:{page_id}')}>",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {url}",
         f"WARC-Payload-Digest: sha1:{sha}",
         "Content-Type: application/http;msgtype=response",
-        f"Content-Length: {len(http) + (0 if revisit else len(payload))}",
+        f"Content-Length: {len(http) + len(payload)}",
     ]
     if page_id is not None:
         lines.append(f"X-Page-Id: {page_id}")
-    if revisit:
+    if refers_to is not None:
         lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(NAMESPACE, f'page:{refers_to}')}>", f"X-Refers-To-Page-Id: {refers_to}"]
-    return VERSION + b"\r\n" + "\r\n".join(lines).encode() + b"\r\n\r\n" + http, b"" if revisit else payload
+    return VERSION + b"\r\n" + "\r\n".join(lines).encode() + b"\r\n\r\n" + http, payload
 
 
 def headers(head: bytes) -> dict[str, str]:
@@ -135,13 +136,13 @@ def _write_part(folder_path: str, level: int, roll: int):
                 out = gz = None
 
         for batch in batches:
-            for page_id, url, html, refers_to in zip(*(batch.column(c) for c in ("page_id", "url", "html", "refers_to")), strict=True):
+            for page_id, url, html, sha, n_bytes, refers_to in zip(*(batch.column(c) for c in ("page_id", "url", "html", "sha", "n_bytes", "refers_to")), strict=True):
                 if out is not None and size >= roll:
                     close()
                 if out is None:
                     out, gz, n, size = _Out(folder, f"part-{part:06d}-{len(done):04d}.warc.gz"), zlib.compressobj(level, zlib.DEFLATED, 31), 0, 0
-                payload, keeper = html.as_py() or b"", refers_to.as_py()
-                head, body = record(page_id.as_py(), url.as_py(), payload, digest(payload), keeper, keeper is not None)
+                sha32 = base64.b32encode(bytes.fromhex(sha.as_py())).decode()
+                head, body = record(page_id.as_py(), url.as_py(), html.as_py() or b"", sha32, n_bytes.as_py(), refers_to.as_py())
                 for x in (head, body, b"\r\n\r\n"):
                     out.write(gz.compress(x))
                 size += len(head) + len(body)
@@ -254,14 +255,20 @@ def write_archives(pages: DataFrame, min_revisit_bytes: int = 0, level: int = 1,
     """
     spark = pages.sparkSession
     base = with_columns_of(pages, {"page_id": "long", "url": "string", "html": "string"})
-    base = base.withColumn("html", F.coalesce(F.col("html"), F.lit("")).cast("binary")).withColumn("sha", F.sha1("html"))
-    # A row a payload, from ids and digests alone; only payloads that repeat are joined.
-    repeats = base.filter(F.octet_length("html") >= min_revisit_bytes).groupBy("sha").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
-    repeats = repeats.filter((F.col("n") > 1) & F.col("keeper").isNotNull()).select(F.col("sha").alias("repeated"), "keeper").hint("shuffle_hash")
-    joined = base.join(repeats, F.col("sha") == F.col("repeated"), "left")
-    joined = joined.select("page_id", "url", "html", F.when(F.col("keeper").isNotNull() & ~F.col("keeper").eqNullSafe(F.col("page_id")), F.col("keeper")).alias("refers_to"))
+    base = base.withColumn("html", F.coalesce(F.col("html"), F.lit("")).cast("binary")).withColumn("sha", F.sha1("html")).withColumn("n_bytes", F.octet_length("html"))
+    # A row a payload that repeats; written, so that Spark can split the pages of one with many copies in the joins after it.
+    repeats = base.filter(F.col("n_bytes") >= min_revisit_bytes).groupBy("sha").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
+    repeats = written(repeats.filter((F.col("n") > 1) & F.col("keeper").isNotNull()).select(F.col("sha").alias("repeated"), "keeper"), "warc-repeats")
+    revisits = base.select("page_id", "url", "sha", "n_bytes").join(repeats.hint("shuffle_hash"), F.col("sha") == F.col("repeated")).filter(~F.col("keeper").eqNullSafe(F.col("page_id")))
+    revisits = written(revisits.select("page_id", "url", "sha", "n_bytes", "keeper"), "warc-revisits")
+    # Payloads are dealt by id and digest, which no copies share. A row of an id and digest is a revisit or a response, and so are all that repeat it.
+    gone = revisits.select(F.col("page_id").alias("r_page"), F.col("sha").alias("r_sha")).distinct().hint("shuffle_hash")
+    responses = base.join(gone, F.col("page_id").eqNullSafe(F.col("r_page")) & (F.col("sha") == F.col("r_sha")), "left_anti")
+    rows = responses.withColumn("keeper", F.lit(None).cast("long")).unionByName(revisits.withColumn("html", F.lit(None).cast("binary")))
     folder = new_path(spark, "warc-raw")
-    return folder, written(joined.mapInArrow(_write_part(folder, level, roll_bytes), "file string, records long"), "warc-raw-list")
+    listed = written(in_batches(rows.withColumnRenamed("keeper", "refers_to"), _write_part(folder, level, roll_bytes), "file string, records long"), "warc-raw-list")
+    discard(repeats, revisits)
+    return folder, listed
 
 
 def normalise(folder: str, files: DataFrame, level: int = 6, keep_source: bool = False) -> tuple[str, DataFrame]:
@@ -275,11 +282,9 @@ def normalise(folder: str, files: DataFrame, level: int = 6, keep_source: bool =
             yield pa.RecordBatch.from_pydict({"file": [x[0] for x in rows], "index_file": [x[1] for x in rows], "records": [x[2] for x in rows]}, pa.schema([("file", pa.string()), ("index_file", pa.string()), ("records", pa.int64())]))
 
     n = max(1, files.count())
-    out = written(files.select("file").repartition(min(n, 10_000), "file").mapInArrow(run, "file string, index_file string, records long"), "warc-list")
+    out = written(in_batches(files.select("file").repartition(min(n, 10_000)), run, "file string, index_file string, records long"), "warc-list")
     if not keep_source:
-        from .common import _delete
-
-        _delete(files.sparkSession, folder)
+        delete(folder)
     return target, out
 
 
@@ -308,7 +313,7 @@ def read_archives(folder: str, files: DataFrame, with_payload: bool = False) ->
                             rows, held = [], 0
                 yield pa.RecordBatch.from_pydict({k: [r[k] for r in rows] for k in names}, arrow)
 
-    return files.select("file", "index_file").repartition(max(1, min(files.count(), 10_000)), "file").mapInArrow(run, schema)
+    return in_batches(files.select("file", "index_file").repartition(max(1, min(files.count(), 10_000))), run, schema)
 
 
 def archive_pages(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
@@ -318,6 +323,7 @@ def archive_pages(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     """
     raw, listed = write_archives(pages, min_revisit_bytes)
     folder, files = normalise(raw, listed)
+    discard(listed)
     return read_archives(folder, files)
 
 
