@@ -1,18 +1,26 @@
 """Licence scans by sentence rules (DataFrame functions only).
 
-A text is cut into sentences, each is normalised to lower-case words, and a
-normalised sentence that is known gets its identifier.  A licence rule is an
-ordered list of identifiers; it holds where the identifiers of a text, in text
-order, contain that list without another known sentence between.
+A text is a sequence of words (runs of a-z and 0-9 after A-Z are lower-cased).
+Between two words a line may end, and a sentence may end: at one of .;:? with what
+is no letter, figure or space after it, before a space or tab.  A known sentence is
+found where its words follow each other, begin and end at a line's or sentence's end
+(or end before a web address), and no sentence ends between them but where the known
+one has such an end itself ("v. 2.0").  So notices wrapped over lines are found, with or
+without comment marks.  Of sentences that begin at one place the longest counts, and
+found ones don't overlap.
+
+A licence rule is an ordered list of identifiers; it holds where the identifiers of a
+text, in text order, contain that list without another known sentence between.
 
 Everything happens within a row: no join, no shuffle.  A text is looked at
-only if it has one of the anchor words, of which every known sentence has one.
-A sentence that the cut itself divides ("v. 2.0") is known as a whole, and a known
-sentence may be wrapped over lines, with or without comment marks.
+only if it has one of a few words of which every known sentence has one.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,60 +85,50 @@ RULES = [
     ("CC-BY-NC-4.0", ["cc-by-nc-4-long"]),
 ]
 
-#: Every known sentence has one of these words.
-ANCHORS = "licen|copyright|permi|redistribut|warrant|free software|mpl was"
-#: A sentence ends at a line's end, or at one of .;:? with what isn't a letter or figure after it, before a space.
+#: Where a sentence ends: group 1, and what follows it.
 CUT = r"([.;:?])[^\sA-Za-z0-9]*[ \t]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What may stand between two words of a sentence (line ends), and where the known sentence has an end.
+INSIDE, DIVIDED = "(?: [|])* ", "(?: [|!])* "
 
 
-def _plain(sentence: str) -> str:
-    import re
-
-    return re.sub(r"[^a-z0-9]+", " ", sentence.lower()).strip()
-
-
-def _known(sentences: dict[str, str]) -> dict[str, str]:
-    """Pieces of the known sentences, normalised, to identifiers, as the SQL knows them; a sentence that
-    the cut divides is known there by its last piece."""
-    import re
-
-    return {_plain(re.sub(CUT, r"\1\n", s).split("\n")[-1]): k for k, s in sentences.items()}
-
-
-def _keys(sentences: dict[str, str], anchors: str) -> dict[str, str]:
-    """Known sentences to identifiers, normalised, with ! where the cut divides them; also the last
-    pieces of divided ones that have an anchor word."""
-    import re
-
-    tails = {s: k for s, k in _known(sentences).items() if re.search(anchors, s)}
-    return tails | {" ! ".join(_plain(x) for x in re.sub(CUT, r"\1\n", s).split("\n")): k for k, s in sentences.items()}
+def pieces(sentence: str) -> list[list[str]]:
+    """The words of a known sentence, divided where a sentence ends within it."""
+    return [re.findall("[a-z0-9]+", x.lower()) for x in re.sub(CUT, r"\1\n", sentence).split("\n")]
 
 
-#: What may stand between two words of a sentence (line ends of wrapped notices; comment marks are no words), and where the cut divides a known sentence.
-INSIDE, DIVIDED = "(?: [|])* ", "(?: [|!])* "
+def anchors_of(sentences: dict[str, str]) -> list[str]:
+    """A few words of which every sentence has one: again and again the word that most of those without one have, of words of six letters and more if they have any."""
+    left, out = [{w for p in pieces(s) for w in p} for s in sentences.values()], []
+    while left:
+        count = Counter(w for x in left for w in x)
+        out.append(max(count, key=lambda w: (min(len(w), 6), count[w], len(w), w)))
+        left = [x for x in left if out[-1] not in x]
+    return out
 
 
-def recognise(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None, anchors: str = ANCHORS) -> DataFrame:
+def recognise(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None) -> DataFrame:
     """The documents with known sentences: doc_id, sentence_ids (array, in text order)
     and licenses (array of structs license, rule, matches; longer rules first).
 
     A rule's sentences are used up: a shorter rule doesn't count them again. A
     null or empty text has none. Repeated rows and null ids give rows of their
-    own. The dictionary is part of the plan, so keep it to some hundred sentences.
+    own; an empty table gives none. Other columns are ignored, whatever their names.
+    The dictionary is part of the plan, so keep it to some hundred sentences.
     """
-    known = _keys(sentences or SENTENCES, anchors)
-    number = {k: f"<{i}>" for i, k in enumerate(dict.fromkeys(known.values()))}
-    table = F.create_map(*[x for s, k in {s.replace(" !", ""): k for s, k in known.items()}.items() for x in (F.lit(s), F.lit(k))])
-    some = "|".join(DIVIDED.join(x.replace(" ", INSIDE) for x in s.split(" ! ")) for s in sorted(known, key=len, reverse=True))
-    base = with_columns_of(docs, {"doc_id": "long", "text": "string"}).withColumn("text", text_or_empty())
-    base = base.filter(F.lower("text").rlike(anchors))
-    # Words with single spaces, | for a line's end and ! for another end of a sentence.
+    sentences = sentences or SENTENCES
+    keys = {k: pieces(s) for k, s in sentences.items()}
+    number = {k: f"<{i}>" for i, k in enumerate(keys)}
+    table = F.create_map(*[x for k, p in keys.items() for x in (F.lit(" ".join(w for q in p for w in q)), F.lit(k))])
+    some = "|".join(DIVIDED.join(INSIDE.join(q) for q in p) for p in sorted(keys.values(), key=lambda p: -len(" ".join(w for q in p for w in q))))
+    base = with_columns_of(docs, {"doc_id": "long", "text": "string"}).withColumn("text", F.translate(text_or_empty(), UPPER, LOWER))
+    base = base.filter(F.col("text").rlike("|".join(anchors_of(sentences))))
+    # Words with single spaces, | for a line's end and ! for a sentence's.
     marked = F.regexp_replace(F.translate("text", "|!", "  "), CUT, "$1 ! ")
-    plain = F.regexp_replace(F.lower(F.regexp_replace(marked, "\n", " | ")), "[^a-z0-9|!]+", " ")
+    plain = F.regexp_replace(F.regexp_replace(marked, "\n", " | "), "[^a-z0-9|!]+", " ")
     whole = F.regexp_extract_all(F.concat(F.lit("| "), F.trim(plain), F.lit(" |")), F.lit(f"(?<=[|!] )(?:{some})(?= [|!]| https? )"), F.lit(0))
-    ids = F.transform(whole, lambda s: F.try_element_at(table, F.regexp_replace(s, " [|!]", "")))
-    found = base.select("doc_id", F.filter(ids, lambda k: k.isNotNull()).alias("sentence_ids"))
-    found = found.filter(F.size("sentence_ids") > 0)
+    ids = F.transform(whole, lambda s: F.element_at(table, F.regexp_replace(s, " [|!]", "")))
+    found = base.select("doc_id", ids.alias("sentence_ids")).filter(F.size("sentence_ids") > 0)
     tokens = F.create_map(*[F.lit(x) for k, n in number.items() for x in (k, n)])
     found = found.withColumn("rest", F.array_join(F.transform("sentence_ids", lambda k: F.element_at(tokens, k)), ""))
     hits = []
@@ -149,23 +147,38 @@ def license_rows(docs: DataFrame, **kw) -> DataFrame:
 
 
 def _sql() -> str:
-    known = _known(SENTENCES)
-    number = {k: f"<{i}>" for i, k in enumerate(dict.fromkeys(known.values()))}
+    """The rule over a table of words and what stands between them; no pattern of whole sentences."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
-    values = ", ".join(f"({q(s)}, {q(k)}, {q(number[k])})" for s, k in known.items())
+    listed = lambda xs: "[" + ", ".join(xs) + "]"
+    values, number = [], {k: f"<{i}>" for i, k in enumerate(SENTENCES)}
+    for k, s in SENTENCES.items():
+        p = pieces(s)
+        ends = [j == len(x) - 1 for x in p for j in range(len(x))]
+        values.append(f"({q(k)}, {q(number[k])}, {listed(q(w) for x in p for w in x)}, {listed('true' if e else 'false' for e in ends)})")
     steps, last = [], "s"
-    for i, (_, ids) in enumerate(sorted(RULES, key=lambda r: -len(r[1]))):
+    order = sorted(RULES, key=lambda r: -len(r[1]))
+    for i, (_, ids) in enumerate(order):
         p = "".join(number[k] for k in ids)
         steps.append(f"r{i} AS (SELECT *, CAST((length(rest{i}) - length(replace(rest{i}, '{p}', '|'))) // {len(p) - 1} AS BIGINT) AS n{i}, replace(rest{i}, '{p}', '|') AS rest{i + 1} FROM {last})")
         last = f"r{i}"
-    rows = " UNION ALL ".join(f"SELECT doc_id, {q(name)} AS license, n{i} AS matches, {q(' '.join(ids))} AS rule, first_sentence FROM {last} WHERE n{i} > 0" for i, (name, ids) in enumerate(sorted(RULES, key=lambda r: -len(r[1]))))
-    cut = CUT.replace("\\s", " \\t\\n\\v\\f\\r")
+    rows = " UNION ALL ".join(f"SELECT doc_id, {q(name)} AS license, n{i} AS matches, {q(' '.join(ids))} AS rule, first_sentence FROM {last} WHERE n{i} > 0" for i, (name, ids) in enumerate(order))
+    space = " \\t\\n\\v\\f\\r"
     return f"""
-WITH known(sentence, id, token) AS (VALUES {values}),
-p AS (SELECT doc_id, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS pos FROM
-      (SELECT doc_id, string_split(regexp_replace(text, '{cut}', '\\1' || chr(10), 'g'), chr(10)) AS parts FROM documents WHERE regexp_matches(lower(text), '{ANCHORS}'))),
-m AS (SELECT p.doc_id, p.pos, k.id, k.token FROM p JOIN known k ON trim(regexp_replace(lower(p.part), '[^a-z0-9]+', ' ', 'g')) = k.sentence),
-s AS (SELECT doc_id, string_agg(token, '' ORDER BY pos) AS rest0, min_by(id, pos) AS first_sentence FROM m GROUP BY doc_id),
+WITH known(id, token, words, may_end) AS (VALUES {", ".join(values)}),
+d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-z0-9]+|[.;:?][^{space}a-z0-9]*[ \\t]+|\\n') AS t FROM documents),
+t AS (SELECT row, doc_id, unnest(t) AS t, unnest(range(1, len(t) + 1)) AS i FROM d),
+n AS (SELECT *, regexp_matches(t, '^[a-z0-9]') AS is_word, sum(CASE WHEN regexp_matches(t, '^[a-z0-9]') THEN 1 ELSE 0 END) OVER (PARTITION BY row ORDER BY i) AS n FROM t),
+gap AS (SELECT row, n, max(CASE WHEN t = chr(10) THEN 1 ELSE 2 END) AS gap FROM n WHERE NOT is_word GROUP BY row, n),
+w AS (SELECT n.row, n.doc_id, n.n, n.t, coalesce(gap.gap, 0) AS gap, lag(coalesce(gap.gap, 0), 1, 1) OVER o AS before, lead(n.t, 1, '') OVER o AS next_word, lead(n.n) OVER o IS NULL AS is_last
+      FROM n LEFT JOIN gap ON n.row = gap.row AND n.n = gap.n WHERE is_word WINDOW o AS (PARTITION BY n.row ORDER BY n.n)),
+a AS (SELECT w.row, w.n, k.id, k.token, k.words, k.may_end FROM w JOIN known k ON w.t = k.words[1] WHERE w.before > 0),
+m AS (SELECT a.row, any_value(w.doc_id) AS doc_id, a.n, a.id, any_value(a.token) AS token, len(any_value(a.words)) AS size
+      FROM a JOIN w ON w.row = a.row AND w.n >= a.n AND w.n < a.n + len(a.words) AND w.t = a.words[CAST(w.n - a.n + 1 AS BIGINT)]
+                       AND CASE WHEN w.n - a.n + 1 < len(a.words) THEN w.gap < 2 OR a.may_end[CAST(w.n - a.n + 1 AS BIGINT)] ELSE w.gap > 0 OR w.is_last OR w.next_word IN ('http', 'https') END
+      GROUP BY a.row, a.n, a.id HAVING count(*) = len(any_value(a.words))),
+f AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY row, n ORDER BY size DESC) = 1),
+o AS (SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM f e WHERE e.row = f.row AND e.n < f.n AND e.n + e.size > f.n)),
+s AS (SELECT row, any_value(doc_id) AS doc_id, string_agg(token, '' ORDER BY n) AS rest0, min_by(id, n) AS first_sentence FROM o GROUP BY row),
 {", ".join(steps)}
 {rows}
 """
