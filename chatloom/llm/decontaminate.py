@@ -12,9 +12,10 @@ the size of the items:
   more misses fewer shingles than that, so at least one hash of its sketch is a
   hash of the document.  The candidate search loses nothing, and it isn't
   bounded by what a random sketch happens to catch.
-* A document is probed with its own shingle hashes, but only with those under
-  the largest hash of any sketch of the partition: in partitions of large items
-  that is a small part of the document.
+* A document is probed with its own shingle hashes. A partition's sketches have no
+  hash above a limit, which is low where items are large, so a document's hashes
+  are kept only up to the largest of the limits, and one join on the hash serves all
+  partitions: above a partition's own limit it finds none of its items.
 * Candidates are verified by exact shingle containment on the whole text.
 """
 
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, small, text_or_empty, with_columns_of, written
+from .common import WORD, numbered, position, small, text_or_empty, with_columns_of, written
 
 #: Items that are broadcast have this many shingles together at most.
 MAX_BROADCAST_ROWS = 500_000
@@ -63,18 +64,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 5, threshold: f
     Null and empty texts contain nothing and are contained in nothing. Items
     (and documents) of fewer than ``n`` words have one shingle, all their words.
     Rows that repeat an id count as one document (item) with the shingles of
-    all; rows with a null id give nothing. Other columns are ignored.
+    all; rows with a null id give nothing. An empty table of either gives no row.
+    Other columns are ignored, whatever their names.
     """
     d = with_columns_of(docs, {"doc_id": "long", "text": "string"}).filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     b = with_columns_of(benchmark, {"item_id": "long", "text": "string"}).filter(F.col("item_id").isNotNull())
     hashed = b.select("item_id", word_hashes(text_or_empty()).alias("w")).select("item_id", F.explode(shingle_hashes("w", n)).alias("hash"))
     hashed = hashed.groupBy("item_id").agg(F.collect_set("hash").alias("hashes"))
     items = written(sketches(hashed, threshold), "bench-shingles")
-    # The largest sketch hash of all: a document's larger hashes match no sketch. One row.
-    top = items.filter("sketched").agg(F.coalesce(F.max("hash"), F.lit(-(2**63))).alias("top"))
+    # The limits of the partitions; a document's hashes above all of them match no sketch. A row a partition, of which there are 32 at most.
+    limits = [r["top"] for r in items.filter("sketched").groupBy("size_class").agg(F.max("hash").alias("top")).collect()]
     probes = items.filter("sketched").select("hash", "item_id")
     shingled = d.select("doc_id", word_hashes(F.col("text")).alias("w")).select("doc_id", shingle_hashes("w", n).alias("s"))
-    limit = F.lit(top.head()["top"])
+    limit = F.lit(max(limits, default=-(2**63)))
     probing = shingled.select("doc_id", F.explode(F.filter("s", lambda x: x <= limit)).alias("hash"))
     candidates = written(probing.join(small(probes, MAX_BROADCAST_ROWS), "hash").select("doc_id", "item_id").distinct(), "bench-candidates")
     return verified(d, items, candidates, n, threshold)
@@ -91,9 +93,11 @@ def verified(docs: DataFrame, items: DataFrame, candidates: DataFrame, n: int, t
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
-    """The documents that contain no item, with their columns; rows with a null doc_id stay."""
+    """The documents that contain no item, with their columns. Rows with a null doc_id and null or empty texts stay; of rows that repeat a
+    doc_id all go if one of them contains an item. Without items all documents stay."""
     found = contaminated(docs, benchmark, **kw).select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(found, docs["doc_id"] == F.col("__leaked"), "left_anti")
+    plain, key = numbered(docs), F.col(f"c{position(docs, 'doc_id')}").cast("long")
+    return plain.join(found, key == F.col("__leaked"), "left_anti").toDF(*docs.columns)
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
