@@ -8,6 +8,7 @@ text's score is the largest of its windows, calibrated on the training texts.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import grid, rnn
-from .common import remainder, text_or_empty, with_columns_of
+from .common import discard, in_batches, numbered, position, remainder, text_or_empty, with_columns_of, written
 
 #: Words of a window and between the starts of windows.
 LENGTH, STRIDE = 32, 16
@@ -24,8 +25,9 @@ LENGTH, STRIDE = 32, 16
 MAX_POSITIVE, MAX_NEGATIVE, MAX_BYTES = 1500, 2500, 24 << 20
 #: Words of the word table, and in how many texts of the sample each must be.
 VOCABULARY, MIN_TEXTS = 20_000, 4
-#: Windows that a round of training goes through at least.
-LEAST_WINDOWS = 4000
+#: Windows that a round of training goes through at least; that the first rounds go through at most; of texts of label 0
+#: that a later round scores at most, and takes from them: those with the largest scores, and others drawn at random.
+LEAST_WINDOWS, FIRST_WINDOWS, OTHER_WINDOWS, HARD_WINDOWS, DRAWN_WINDOWS = 4000, 8000, 20_000, 1500, 3000
 
 
 class Model:
@@ -61,6 +63,8 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 0, roun
     """Fit on texts and labels of 0 or 1; ``prior`` is the share of 1 where the model is used.
 
     Every fifth text is left out of the fit and used to calibrate. Equal texts count once.
+    How many windows of the sample a round goes through is bounded (FIRST_WINDOWS and the
+    others above); the choice among the windows of texts of label 0 is drawn anew each round.
     """
     first_of = {t: i for i, t in reversed(list(enumerate(texts)))}
     texts, labels = [texts[i] for i in sorted(first_of.values())], [labels[i] for i in sorted(first_of.values())]
@@ -87,16 +91,16 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 0, roun
     for k in range(rounds):
         usable = np.flatnonzero(fit[of])
         if k < epochs_all:
-            pick = g.permutation(usable)[:8_000]
+            pick = g.permutation(usable)[:FIRST_WINDOWS]
         else:
             raw = np.full(len(start), -np.inf)
-            near = np.union1d(usable[y[of[usable]] > 0], g.permutation(usable[y[of[usable]] == 0])[:20_000])
+            near = np.union1d(usable[y[of[usable]] > 0], g.permutation(usable[y[of[usable]] == 0])[:OTHER_WINDOWS])
             raw[near] = _window_logits(net, rows, grams, first, word, start[near], size[near], len(h))
             best = near[np.lexsort((-raw[near], of[near]))]
             best = best[np.unique(of[best], return_index=True)[1]]
             more = near[y[of[near]] == 0]
-            hard = more[np.argsort(-raw[more], kind="stable")[:1500]]
-            pick = np.unique(np.concatenate([best[y[of[best]] > 0], hard, g.permutation(more)[:3000]]))
+            hard = more[np.argsort(-raw[more], kind="stable")[:HARD_WINDOWS]]
+            pick = np.unique(np.concatenate([best[y[of[best]] > 0], hard, g.permutation(more)[:DRAWN_WINDOWS]]))
         ids, mask = rnn.window_ids(word, start[pick], size[pick], LENGTH, len(h))
         target = y[of[pick]]
         weight = np.where(target > 0, 0.5 / max(target.mean(), 1e-6), 0.5 / max(1 - target.mean(), 1e-6)).astype(np.float32)
@@ -125,26 +129,46 @@ def fitted(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     """A model from the labelled texts whose crc32(doc_id) mod 4 isn't 2.
 
     The sample is bounded: the texts of each class with the smallest hashes of
-    their ids, ``max_positive`` and ``max_negative`` at most, shorter by
-    ``max_bytes`` of text. Null ids, labels and texts are passed over; of rows that
-    repeat an id, any may be taken.
+    their ids, ``max_positive`` and ``max_negative`` at most; a text of over a
+    24th of ``max_bytes`` (UTF-8) is passed over, and so is one that would bring the
+    sample over ``max_bytes``. Null ids, labels and texts are passed over; an id
+    with both labels is toxic; of rows that repeat an id the smallest text counts.
+
+    One task trains on the sample and returns the weights; the driver never holds
+    the texts.
     """
+    spark = docs.sparkSession
     known = with_columns_of(labels, {"doc_id": "long", "toxic": "int"}).filter("doc_id is not null and toxic in (0, 1)").filter(remainder("doc_id", 4) != 2)
-    known = known.withColumn("h", F.xxhash64(F.lit(seed), "doc_id"))
+    known = written(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("h", F.xxhash64(F.lit(seed), "doc_id")), "toxic-labels")
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    pick = known.filter("toxic = 1").orderBy("h", "doc_id").limit(max_positive).unionByName(known.filter("toxic = 0").orderBy("h", "doc_id").limit(max_negative))
-    ids = [(r["doc_id"], r["toxic"], r["h"]) for r in pick.dropDuplicates(["doc_id"]).collect()]
+    parts = [known.filter(F.col("toxic") == y).orderBy("h", "doc_id").limit(most) for y, most in ((1, max_positive), (0, max_negative))]
+    chosen = [(r["doc_id"], r["toxic"], r["h"]) for r in parts[0].unionByName(parts[1]).collect()]
+    discard(known)
+    prior = counts.get(1, 0) / max(1, sum(counts.values()))
+    if not chosen:
+        return train([], [], prior, seed)
+    base = with_columns_of(docs, {"doc_id": "long", "text": "string"}).filter("text is not null").filter(F.octet_length("text") <= max_bytes // 24)
+    sample = base.join(F.broadcast(spark.createDataFrame(chosen, "doc_id long, toxic int, h long")), "doc_id")
+    sample = written(sample.groupBy("doc_id", "toxic", "h").agg(F.min("text").alias("text")), "toxic-sample")
+    sizes = sample.select("doc_id", "h", F.octet_length("text").alias("n")).collect()
+    ids, held = [], 0
+    for r in sorted(sizes, key=lambda r: (r["h"], r["doc_id"])):
+        if held + r["n"] <= max_bytes:
+            held += r["n"]
+            ids.append((r["doc_id"],))
     if not ids:
-        return train([], [], 0.0)
-    chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, toxic int, h long")
-    base = with_columns_of(docs, {"doc_id": "long", "text": "string"}).filter("text is not null")
-    texts, held = [], 0
-    for r in sorted(base.join(F.broadcast(chosen), "doc_id").collect(), key=lambda r: (r["h"], r["doc_id"])):
-        held += len(r["text"])
-        if held > max_bytes:
-            break
-        texts.append((r["text"], r["toxic"]))
-    return train([t for t, _ in texts], [y for _, y in texts], counts.get(1, 0) / max(1, sum(counts.values())), seed)
+        discard(sample)
+        return train([], [], prior, seed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(((h, i, t, y) for b in batches for i, t, y, h in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic", "h")), strict=True)), key=lambda r: r[:2])
+        model = train([r[2] for r in rows], [r[3] for r in rows], prior, seed)
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]}, pa.schema([("model", pa.binary())]))
+
+    one = sample.join(F.broadcast(spark.createDataFrame(ids, "doc_id long")), "doc_id", "left_semi").repartition(1)
+    model = pickle.loads(in_batches(one, run, "model binary").head()["model"])
+    discard(sample)
+    return model
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -156,7 +180,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for part, data, offs in grid.pieces(batches, "text"):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.score(data, offs))], schema=schema)
 
-    return base.mapInArrow(run, "doc_id long, score double")
+    return in_batches(base, run, "doc_id long, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **kw) -> DataFrame:
@@ -164,18 +188,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **kw) -
 
     held_out is false for a null doc_id. Empty texts get score 0. An empty table
     gives no row; without labels of both values every text gets the prior.
+    Repeated rows are rows of their own; other columns are ignored, whatever their names.
     """
     out = scored(docs, fitted(docs, labels, **kw))
     return out.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **kw) -> DataFrame:
-    """The rows of ``docs``, whole, whose text scores under the threshold."""
+    """The rows of ``docs``, whole, whose text scores under the threshold. Null and empty texts stay, rows with a null id are
+    scored like others, and repeated rows are rows of their own."""
     model = fitted(docs, labels, **kw)
-    columns = docs.columns
+    text = f"c{position(docs, 'text')}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offs in grid.pieces(batches, "text"):
+        for part, data, offs in grid.pieces(batches, text):
             yield part.filter(pa.array(model.score(data, offs) < threshold))
 
-    return docs.select(*[f"`{c}`" for c in columns]).mapInArrow(run, docs.schema)
+    plain = numbered(docs)
+    return in_batches(plain, run, plain.schema).toDF(*docs.columns)
