@@ -113,38 +113,52 @@ class Model:
         return out, score
 
 
-def train(texts: list[str], langs: list[str], smoothing: float = 0.1) -> Model:
-    languages = sorted(set(langs))
-    counts = np.full((BUCKETS, max(1, len(languages))), smoothing)
-    for j, lang in enumerate(languages):
-        raw = [t.encode("utf-8", "replace") for t, x in zip(texts, langs, strict=True) if x == lang]
-        data, offs = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
-        if not len(data):
-            continue
-        data = _lowered(data)
-        u0, u1, word, _ = _words(data, offs)
-        if len(word):
-            grams, first = _grams(data, u0, u1)
-            times = np.bincount(word, minlength=len(u0))
-            counts[:, j] += np.bincount(grams, np.repeat(times, np.diff(np.append(first, len(grams)))), BUCKETS)
-    return Model(languages, np.log(counts / counts.sum(axis=0)).astype(np.float32))
-
-
-def fitted(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, seed: int = 0) -> Model:
+def counted(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """How often the buckets occur in the texts."""
+    if not len(data):
+        return np.zeros(BUCKETS)
+    data = _lowered(data)
+    u0, u1, word, _ = _words(data, offs)
+    if not len(word):
+        return np.zeros(BUCKETS)
+    grams, first = _grams(data, u0, u1)
+    times = np.bincount(word, minlength=len(u0))
+    return np.bincount(grams, np.repeat(times, np.diff(np.append(first, len(grams)))), BUCKETS)
+
+
+def fitted(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, smoothing: float = 0.1, seed: int = 0) -> Model:
     """A model from texts with a language whose crc32(doc_id) mod 4 isn't 2.
 
     Of each language a share of the texts is drawn by a hash of the id, so that
     about ``sample_texts`` are drawn in all, and of a language as many as of any other.
+    The texts are counted where they are; the driver gets a number a language and bucket.
     """
     base = with_columns_of(docs, {"doc_id": "long", "text": "string", "lang": "string"}).filter("text is not null and lang is not null and doc_id is not null").filter(remainder("doc_id", 4) != 2)
     counts = {r["lang"]: r["count"] for r in base.groupBy("lang").count().collect()}
     if not counts:
-        return train([], [])
+        return Model([], np.zeros((BUCKETS, 1), np.float32))
     each = max(1, sample_texts // len(counts))
     rate = F.create_map(*[x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(min(1.0, each / n)))])
     u = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    rows = base.filter(u < F.element_at(rate, F.col("lang"))).select("text", "lang").collect()
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+    schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offs in grid.pieces(batches, "text"):
+            langs = np.array(part.column("lang").to_pylist(), object)
+            for lang in sorted(set(langs)):
+                own = np.flatnonzero(langs == lang)
+                lens = (offs[own + 1] - offs[own]).astype(np.int64)
+                n = counted(np.concatenate([data[offs[i] : offs[i + 1]] for i in own]), np.concatenate([[0], np.cumsum(lens)]))
+                some = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some, pa.int32()), pa.array(n[some].astype(np.int64))], schema=schema)
+
+    rows = in_batches(base.filter(u < F.element_at(rate, F.col("lang"))).select("text", "lang"), run, "lang string, bucket int, n long")
+    found = rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    languages = sorted(counts)
+    table = np.full((BUCKETS, len(languages)), smoothing)
+    at = {k: j for j, k in enumerate(languages)}
+    table[found["bucket"].to_numpy(int), found["lang"].map(at).to_numpy(int)] += found["n"].to_numpy(float)
+    return Model(languages, np.log(table / table.sum(axis=0)).astype(np.float32))
 
 
 def languages(docs: DataFrame, model: Model | None = None, **kw) -> DataFrame:
@@ -152,7 +166,8 @@ def languages(docs: DataFrame, model: Model | None = None, **kw) -> DataFrame:
 
     A null text, or one without a letter, is ``und`` with score 0; so is every
     text if there is nothing to learn from. held_out is false for a null doc_id.
-    An empty table gives no row; repeated rows are rows of their own.
+    An empty table gives no row; repeated rows are rows of their own. Other columns
+    are ignored, whatever their names.
     """
     model = model or fitted(docs, **kw)
     base = with_columns_of(docs, {"doc_id": "long", "text": "string"}).withColumn("text", text_or_empty())
