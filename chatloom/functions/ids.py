@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 
 def slug(x) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.lower(x), "[^a-z0-9-]+", "-"), "^-+|-+$", "")
+    """Lower-case letters, figures and dashes; x if nothing is left."""
+    return F.coalesce(F.nullif(F.regexp_replace(F.regexp_replace(F.lower(x), "[^a-z0-9-]+", "-"), "^-+|-+$", ""), F.lit("")), F.lit("x"))
 
 
 def run_id(model, stamp, label=None) -> Column:
-    parts = [stamp, slug(model)] + ([F.nullif(slug(label), F.lit(""))] if label is not None else [])
+    """Time, model and, unless null or empty, label."""
+    parts = [stamp, slug(model)] + ([F.when(F.coalesce(label, F.lit("")) != "", slug(label))] if label is not None else [])
     return F.concat_ws("__", *parts)
 
 
@@ -30,9 +32,18 @@ def stable_session_id(folder, first_ts) -> Column:
     return F.concat(folder, F.lit("#"), F.substring(F.sha1(F.concat(folder, F.lit("|"), iso(first_ts)).cast("binary")), 1, 10))
 
 
+def _json_text(x) -> Column:
+    """A string as JSON writes it; null is null."""
+    return F.coalesce(F.regexp_extract(F.to_json(F.struct(x.cast("string").alias("v"))), r'(?s)^\{"v":(.*)\}$', 1), F.lit("null")) if x is not None else F.lit("null")
+
+
 def sample_key(persona_id, context_turns, reference) -> Column:
-    """Injective key of a prompt."""
-    return F.sha2(F.to_json(F.struct(persona_id.alias("persona_id"), context_turns.alias("context_turns"), reference.alias("reference"))).cast("binary"), 256)
+    """Key of a prompt: the hash of a JSON object of context_turns (an array of from and value, or null), persona_id and reference, keys in order."""
+    quoted = lambda x: F.when(x.isNull(), F.lit("null")).otherwise(_json_text(x))
+    turn = lambda t: F.concat(F.lit('{"from": '), quoted(t["from"]), F.lit(', "value": '), quoted(t["value"]), F.lit("}"))
+    turns = F.when(context_turns.isNull(), F.lit("null")).otherwise(F.concat(F.lit("["), F.array_join(F.transform(context_turns, turn), ", "), F.lit("]")))
+    whole = F.concat(F.lit('{"context_turns": '), turns, F.lit(', "persona_id": '), _json_text(F.coalesce(persona_id, F.lit(""))), F.lit(', "reference": '), _json_text(F.coalesce(reference, F.lit(""))), F.lit("}"))
+    return F.sha2(whole.cast("binary"), 256)
 
 
 def stable_order(seed: int, *parts) -> Column:
@@ -40,12 +51,14 @@ def stable_order(seed: int, *parts) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]).cast("binary"))
 
 
-def variant_id(path, label) -> Column:
-    return F.substring(F.sha2(F.concat_ws("\n", path, label).cast("binary"), 256), 1, 12)
+def variant_id(path, source_index) -> Column:
+    """Of a dump: the hash of its path and place."""
+    return F.substring(F.sha2(F.concat_ws("#", path, source_index.cast("string")).cast("binary"), 256), 1, 12)
 
 
-def comparison_id(variant_ids) -> Column:
-    return F.substring(F.sha2(F.array_join(F.array_sort(variant_ids), "\n").cast("binary"), 256), 1, 16)
+def comparison_id(paths) -> Column:
+    """Of an array of dumps' paths, whatever their order."""
+    return F.substring(F.sha2(F.array_join(F.array_sort(paths), "\n").cast("binary"), 256), 1, 20)
 
 
 def group_key(kind, value) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import falsy
+from .text import falsy, rstrip, strip
 
 #: Fillers where no profile says otherwise.
 STYLE_FILLERS = ("lol", "ngl", "tbh", "fr", "lowkey", "bro")
@@ -21,7 +21,7 @@ def system_prompt(persona, others: Column) -> Column:
 def header(persona, others=None, minimal=None) -> Column:
     who = F.coalesce(F.nullif(F.array_join(others, ", "), F.lit("")), F.lit("someone")) if others is not None else F.lit("someone")
     own = F.concat(F.lit("You are "), persona, F.lit(" chatting with "), who, F.lit(", continue the conversation."))
-    return F.coalesce(F.rtrim(falsy(minimal)), own) if minimal is not None else own
+    return F.coalesce(rstrip(falsy(minimal)), own) if minimal is not None else own
 
 
 def _tier(x, steps, last: str) -> Column:
@@ -70,16 +70,21 @@ def style_bullets(persona) -> Column:
     return F.concat(F.lit(text + "- Reply only with "), persona, F.lit("'s next message. Do not narrate actions, repeat earlier turns, or include multiple speakers."))
 
 
-def top_fillers(profile, n: int = 8) -> Column:
-    """Distinct 1-gram fillers of a profile struct, lower-cased, the first n."""
-    tokens = F.transform(F.coalesce(profile["top_fillers"]["1gram"], F.array()), lambda t: F.lower(F.trim(t["token"])))
-    return F.slice(F.array_distinct(F.filter(tokens, lambda t: F.coalesce(t, F.lit("")) != "")), 1, n)
+def top_fillers(profile, n: int = 8, flat=None) -> Column:
+    """1-gram fillers of a profile struct, lower-cased, the first n and of those the distinct ones.
+
+    ``flat`` is an array of fillers from the older, flat form; it fills up what the profile lacks.
+    """
+    grams = F.coalesce(profile["top_fillers"]["1gram"]["token"], F.array().cast("array<string>"))
+    words = grams if flat is None else F.concat(grams, F.coalesce(flat, F.array().cast("array<string>")))
+    words = F.filter(F.transform(words, lambda t: F.lower(strip(t))), lambda t: F.coalesce(t, F.lit("")) != "")
+    return F.array_distinct(F.slice(words, 1, n))
 
 
-def profile_bullets(persona, profile) -> Column:
-    """Fixed wording of the guidance from a profile: struct of length, lowercase_start_rate, emoji, burst_rate, burst_size and top_fillers."""
-    length, emoji, low = profile["length"], profile["emoji"], profile["lowercase_start_rate"]
-    burst = F.coalesce(profile["burst_rate"], profile["burst_size"])
+def profile_bullets(persona, profile, flat=None) -> Column:
+    """Fixed wording of the guidance from a profile: struct of length, lowercase_start_rate, emoji, burst_rate and top_fillers, as
+    ``operators.profiles.build_profiles`` returns them. What is null is left out."""
+    length, emoji, low, burst = profile["length"], profile["emoji"], profile["lowercase_start_rate"], profile["burst_rate"]
     p50, p95 = F.bround(length["p50"].cast("double")).cast("int"), F.bround(length["p95"].cast("double")).cast("int")
     parts = F.concat_ws(
         ", ",
@@ -87,7 +92,7 @@ def profile_bullets(persona, profile) -> Column:
         F.concat(F.lit("median "), p50.cast("string")),
         F.concat(F.lit("95th percentile "), p95.cast("string")),
     )
-    known = top_fillers(profile)
+    known = top_fillers(profile, flat=flat)
     fillers = F.when(F.size(known) > 0, _quoted(known)).otherwise(_quoted(F.array(*map(F.lit, STYLE_FILLERS))))
     total = F.coalesce(emoji["unicode_per_turn"], F.lit(0.0)) + F.coalesce(emoji["custom_per_turn"], F.lit(0.0))
     density = F.concat_ws("; ", F.concat(F.format_string("%.2f", emoji["unicode_per_turn"]), F.lit(" unicode emoji/turn")), F.concat(F.format_string("%.2f", emoji["custom_per_turn"]), F.lit(" :custom: emotes/turn")))
@@ -106,7 +111,7 @@ def profile_bullets(persona, profile) -> Column:
     )
 
 
-def baseline_prompt(mode: str, persona, others=None, minimal=None, profile=None) -> Column:
+def baseline_prompt(mode: str, persona, others=None, minimal=None, profile=None, flat_fillers=None) -> Column:
     """minimal, style or profile; a null profile falls back to style."""
     if mode not in ("minimal", "style", "profile"):
         raise ValueError(f"unknown baseline prompt mode {mode!r}")
@@ -116,7 +121,7 @@ def baseline_prompt(mode: str, persona, others=None, minimal=None, profile=None)
     generic = F.concat(head, style_bullets(persona))
     if mode == "style" or profile is None:
         return generic
-    return F.when(profile.isNull(), generic).otherwise(F.concat(head, profile_bullets(persona, profile)))
+    return F.when(profile.isNull(), generic).otherwise(F.concat(head, profile_bullets(persona, profile, flat_fillers)))
 
 
 def role_lines(turns) -> Column:
@@ -125,8 +130,6 @@ def role_lines(turns) -> Column:
 
 def user_prompt(context, turns) -> Column:
     """The context, if it isn't blank, else the turns as lines."""
-    from .text import strip
-
     return F.coalesce(F.nullif(strip(F.coalesce(context, F.lit(""))), F.lit("")), role_lines(F.coalesce(turns, F.array())))
 
 

@@ -31,6 +31,10 @@ def strip(x) -> Column:
     return F.btrim(x, F.lit(BLANK))
 
 
+def rstrip(x) -> Column:
+    return F.rtrim(x, F.lit(BLANK))
+
+
 def strip_custom_emojis(x) -> Column:
     return F.regexp_replace(x, CUSTOM_EMOJI, ":$1:")
 

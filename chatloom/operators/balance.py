@@ -51,6 +51,11 @@ def parse_list(text: str, kind=int) -> list:
     return out
 
 
+def sweep_lists(baseline: dict, given: dict[str, str | None]) -> dict[str, list]:
+    """Lists of a parameter grid: those given as text, of numbers like the baseline's, and the baseline's own value for others."""
+    return {k: parse_list(given[k], type(v)) if given.get(k) else [v] for k, v in baseline.items()}
+
+
 def cap_of(counts: DataFrame, policy: str, k: float = 1.5) -> DataFrame:
     """One row: cap, null for none. ``counts`` has n per persona."""
     kind, n = parse_policy(policy)
@@ -59,11 +64,21 @@ def cap_of(counts: DataFrame, policy: str, k: float = 1.5) -> DataFrame:
 
 
 def round_robin(rows: DataFrame, group: str, cap: Column, seed: int) -> DataFrame:
-    """At most ``cap`` rows of a group, taken from its sessions in turn; groups within their cap stay whole."""
+    """At most ``cap`` rows of a group, taken from its sessions in turn; groups within their cap stay whole.
+
+    A row's rank is what comes before its cell (turn, range of the session's hash) by prefix sums over cells, and its
+    place in the cell; so what a task sorts is a session or a cell, never a group.
+    """
     inner = Window.partitionBy(group, "session").orderBy(stable_order(seed, F.col("key")), "key")
     r = rows.withColumn("__turn", F.row_number().over(inner)).withColumn("__session", stable_order(seed, F.col("session")))
-    outer = Window.partitionBy(group).orderBy("__turn", "__session", "session")
-    return r.withColumn("__rank", F.row_number().over(outer)).filter(cap.isNull() | (F.col("__rank") <= cap)).drop("__turn", "__session", "__rank")
+    r = r.withColumn("__part", F.substring("__session", 1, 3))
+    cells = r.groupBy(F.col(group).alias("__group"), F.col("__turn").alias("__t"), F.col("__part").alias("__p")).agg(F.count("*").alias("__n"))
+    ahead = Window.partitionBy("__group").orderBy("__t", "__p").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("__before", F.coalesce(F.sum("__n").over(ahead), F.lit(0))).drop("__n")
+    r = r.join(cells, F.col(group).eqNullSafe(F.col("__group")) & (F.col("__turn") == F.col("__t")) & (F.col("__part") == F.col("__p")))
+    place = Window.partitionBy(group, "__turn", "__part").orderBy("__session", "session")
+    r = r.withColumn("__rank", F.col("__before") + F.row_number().over(place)).filter(cap.isNull() | (F.col("__rank") <= cap))
+    return r.drop("__turn", "__session", "__part", "__group", "__t", "__p", "__before", "__rank")
 
 
 def balance(rows: DataFrame, policy: str = "median", k: float = 1.5, seed: int = 0) -> DataFrame:
@@ -73,6 +88,15 @@ def balance(rows: DataFrame, policy: str = "median", k: float = 1.5, seed: int =
     return round_robin(rows.join(F.broadcast(cap), F.lit(True)), "persona", F.col("cap"), seed).drop("cap")
 
 
+def balance_report(before: DataFrame, after: DataFrame, policy: str = "median", k: float = 1.5) -> DataFrame:
+    """A row a persona: its cap (its own count, without a cap), and its rows before and after."""
+    n = before.groupBy("persona").agg(F.count("*").alias("n"))
+    left = after.groupBy(F.col("persona").alias("p")).agg(F.count("*").alias("m"))
+    # One row, joined as a scalar.
+    j = n.join(F.broadcast(cap_of(n, policy, k)), F.lit(True)).join(left, F.col("persona").eqNullSafe(F.col("p")), "left")
+    return j.select("persona", F.coalesce("cap", "n").alias("cap"), F.col("n").alias("before"), F.coalesce("m", F.lit(0)).alias("after"))
+
+
 def balance_turns(rows: DataFrame, policy: str = "none", seed: int = 0) -> DataFrame:
     """Rows (with num_turns) so that numbers of turns with a weight are in its proportions; others stay.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,11 +30,12 @@ def pair_jobs(keys: DataFrame, labels: list[str], pairs_per_prompt: int = 6, see
 
 
 def newest_wins(rows: DataFrame) -> DataFrame:
-    """Of rows with one prompt, i, j and two labels, the one from the newest file, and the first in it."""
+    """Of rows with one prompt, i, j and two labels (and of one scope, if they have any), the one from the newest file, and the first in it."""
+    scope = ["scope"] if "scope" in rows.columns else []
     pair = F.array_sort(F.array("winner_label", "loser_label"))
     rest = F.struct(*rows.columns)
     order = F.struct(-F.unix_micros(F.col("mtime").cast("timestamp")), F.col("path"), F.col("line"))
-    return rows.withColumns({"__pair": pair, "__order": order, "__row": rest}).groupBy("sample_key", "i", "j", "__pair").agg(F.min_by("__row", "__order").alias("r")).select("r.*")
+    return rows.withColumns({"__pair": pair, "__order": order, "__row": rest}).groupBy(*scope, "sample_key", "i", "j", "__pair").agg(F.min_by("__row", "__order").alias("r")).select("r.*")
 
 
 def win_rates(rows: DataFrame) -> DataFrame:
@@ -62,40 +66,74 @@ def two_player(wins_a: Column, wins_b: Column, start_a: Column, start_b: Column)
 def fold(games: DataFrame, start: DataFrame, k: float = 32.0) -> DataFrame:
     """(scope, label, rating) after the games (scope, ord, winner_label, loser_label), one after another.
 
-    The fold is in order, so a scope is one row; there are as many tasks as scopes.
-    ``start`` has (scope, label, rating).
+    A scope's games are sorted within a partition and streamed through; its ratings are all that is held, whatever the number
+    of games. There are as many tasks at work as there are scopes. ``start`` has (scope, label, rating), for every label
+    of the scope's games; labels without games keep theirs.
     """
-    first = start.groupBy("scope").agg(F.map_from_entries(F.collect_list(F.struct("label", "rating"))).alias("ratings"))
-    rows = games.groupBy("scope").agg(F.array_sort(F.collect_list(F.struct("ord", F.col("winner_label").alias("w"), F.col("loser_label").alias("l")))).alias("games"))
-
-    def step(acc, g):
-        rw, rl = F.element_at(acc, g["w"]), F.element_at(acc, g["l"])
-        return F.transform_values(acc, lambda label, r: F.when(label == g["w"], r + k * (1.0 - expected(rw, rl))).when(label == g["l"], r - k * expected(rl, rw)).otherwise(r))
-
-    out = first.join(rows, "scope", "left").withColumn("ratings", F.when(F.col("games").isNull(), F.col("ratings")).otherwise(F.aggregate(F.coalesce("games", F.array()), F.col("ratings"), step)))
-    return out.select("scope", F.explode("ratings").alias("label", "rating"))
+    null = lambda t, c: F.lit(None).cast(t).alias(c)
+    kind = games.schema["ord"].dataType
+    first = start.select("scope", F.lit(0).alias("kind"), null(kind, "ord"), F.col("label").alias("a"), null("string", "b"), F.col("rating").cast("double").alias("rating"))
+    then = games.select("scope", F.lit(1).alias("kind"), "ord", F.col("winner_label").alias("a"), F.col("loser_label").alias("b"), null("double", "rating"))
+    rows = first.unionByName(then).repartition("scope").sortWithinPartitions("scope", "kind", "ord").select("scope", "kind", "a", "b", "rating")
+    out = rows.select("scope", F.col("a").alias("label"), "rating").schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ratings = None, {}
+
+        def given(kinds):
+            return pa.RecordBatch.from_arrays([pa.array([now[0]] * len(ratings), kinds), pa.array(list(ratings)), pa.array(list(ratings.values()), pa.float64())], names=["scope", "label", "rating"])
+
+        for batch in batches:
+            for scope, game, a, b, rating in zip(*(batch.column(c).to_pylist() for c in ("scope", "kind", "a", "b", "rating")), strict=True):
+                if now != (scope,):
+                    if ratings:
+                        yield given(batch.schema.field("scope").type)
+                    now, ratings = (scope,), {}
+                if not game:
+                    ratings[a] = rating
+                    continue
+                won = 1.0 / (1.0 + 10.0 ** ((ratings[b] - ratings[a]) / 400.0))
+                ratings[a], ratings[b] = ratings[a] + k * (1.0 - won), ratings[b] - k * (1.0 - won)
+            kinds = batch.schema.field("scope").type
+        if ratings:
+            yield given(kinds)
+
+    return rows.mapInArrow(run, out)
+
+
+def replay_groups(rows: DataFrame, priors: DataFrame | None = None, start: float = 1500.0, k: float = 32.0, seed: int = 0, chronological: bool = False) -> DataFrame:
+    """scope, label, rating, wins, losses, games, win_rate from comparison rows with a scope, each scope for itself.
+
+    A scope of two labels with near starting ratings is rated by wins alone; of others the games are
+    folded, in hash order or (chronological) by file time and line. ``priors`` has (scope, label, rating).
+    """
+    side = lambda c, won: F.struct(F.col(c).alias("label"), F.lit(won).alias("won"))
+    x = rows.select("scope", F.explode(F.array(side("winner_label", 1), side("loser_label", 0))).alias("g")).select("scope", "g.*")
+    rates = x.groupBy("scope", "label").agg(F.sum("won").cast("long").alias("wins"), F.count("*").alias("games"))
+    rates = rates.select("scope", "label", "wins", (F.col("games") - F.col("wins")).alias("losses"), "games", F.try_divide(F.col("wins"), F.col("games")).alias("win_rate"))
+    fine = F.col("prior").isNotNull() & ~F.isnan("prior") & (F.abs("prior") < float("inf"))
+    if priors is None:
+        begin = rates.withColumn("start", F.lit(float(start)))
+    else:
+        begin = rates.join(priors.select("scope", "label", F.col("rating").alias("prior")), ["scope", "label"], "left").withColumn("start", F.when(fine, F.col("prior")).otherwise(F.lit(float(start)))).drop("prior")
+    # A window has the labels of a scope, not its games.
+    w = Window.partitionBy("scope")
+    begin = begin.withColumns({"n": F.count("*").over(w), "gap": F.max("start").over(w) - F.min("start").over(w), "mid": F.avg("start").over(w), "all": F.sum("wins").over(w)})
+    begin = begin.withColumn("two", (F.col("n") == 2) & (F.col("gap") <= TOLERANCE))
+    own, _ = two_player(F.col("wins"), F.col("all") - F.col("wins"), F.col("mid"), F.col("mid"))
+    closed = begin.filter("two").withColumn("rating", own)
+    rest = begin.filter("not two")
+    order = F.struct(F.unix_micros(F.col("mtime").cast("timestamp")), F.col("line")) if chronological else F.struct(stable_order(seed, F.col("sample_key"), F.col("i"), F.col("j"), F.col("swap")), F.col("sample_key"))
+    games = rows.join(rest.select("scope").distinct(), "scope", "left_semi").select("scope", order.alias("ord"), "winner_label", "loser_label")
+    folded = rest.join(fold(games, rest.select("scope", "label", F.col("start").alias("rating")), k), ["scope", "label"])
+    names = ["scope", "label", "rating", "wins", "losses", "games", "win_rate"]
+    return closed.select(*names).unionByName(folded.select(*names))
 
 
 def replay(rows: DataFrame, priors: DataFrame | None = None, start: float = 1500.0, k: float = 32.0, seed: int = 0, chronological: bool = False) -> DataFrame:
-    """label, rating, wins, losses, games, win_rate from comparison rows.
-
-    Two labels with near starting ratings are rated by their wins; otherwise games are
-    folded, in hash order or (chronological) by file time and line.
-    """
-    rates = win_rates(rows)
-    begin = initial(rates.select("label"), priors, start)
-    two = begin.agg(F.count("*").alias("n"), (F.max("rating") - F.min("rating")).alias("gap")).head()
-    if two["n"] == 2 and two["gap"] <= TOLERANCE:
-        s = begin.join(rates, "label")
-        w = Window.partitionBy()
-        mid, total = F.avg("rating").over(w), F.sum("wins").over(w)
-        own, _ = two_player(F.col("wins"), total - F.col("wins"), mid, mid)
-        rated = s.select("label", own.alias("rating"))
-    else:
-        order = F.struct(F.unix_micros(F.col("mtime").cast("timestamp")), F.col("line")) if chronological else F.struct(stable_order(seed, F.col("sample_key"), F.col("i"), F.col("j"), F.col("swap")), F.col("sample_key"))
-        games = rows.select(F.lit(0).alias("scope"), order.alias("ord"), "winner_label", "loser_label")
-        rated = fold(games, begin.select(F.lit(0).alias("scope"), "label", "rating"), k).select("label", "rating")
-    return rated.join(rates, "label")
+    """``replay_groups`` of one group: label, rating, wins, losses, games, win_rate."""
+    one = lambda d: d.withColumn("scope", F.lit(0)) if d is not None else None
+    return replay_groups(one(rows), one(priors), start, k, seed, chronological).drop("scope")
 
 
 def normalized(rows: DataFrame, column: str, scope: list[str] | None = None) -> Column:

@@ -37,9 +37,9 @@ def persona_scores(generations: DataFrame, profiles: DataFrame | None = None, to
 
 
 def judge_averages(ratings: DataFrame, axes=("vocabulary", "tone", "length", "authentic_persona", "overall")) -> DataFrame:
-    """Per persona and for all (null): the mean of each axis, ratings and errors; rows without rating are errors."""
+    """Per persona and for all (is_total, persona null): the mean of each axis, ratings and errors; rows without rating are errors. A null persona is one of its own."""
     ok = F.col(axes[0]).isNotNull()
-    return ratings.groupingSets([["persona_id"], []], "persona_id").agg(*[F.avg(a).alias(a) for a in axes], F.count_if(ok).alias("n_rated"), F.count_if(~ok).alias("n_errors"))
+    return ratings.groupingSets([["persona_id"], []], "persona_id").agg((F.grouping("persona_id") == 1).alias("is_total"), *[F.avg(a).alias(a) for a in axes], F.count_if(ok).alias("n_rated"), F.count_if(~ok).alias("n_errors"))
 
 
 def flat_scores(runs: DataFrame) -> DataFrame:

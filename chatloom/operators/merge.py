@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ids import group_key
+from ..functions.ids import group_key, variant_id
+from ..functions.text import strip
 
 
 def last_by_key(rows: DataFrame) -> DataFrame:
@@ -49,36 +50,86 @@ def apply_verdict(votes: DataFrame, change: DataFrame) -> DataFrame:
     return votes.join(change.select(*keys), keys, "left_anti").unionByName(change.filter("verdict <> 'neutral'"))
 
 
-def search(rows: DataFrame, words: str, columns: list[str]) -> DataFrame:
-    """Rows one of whose columns contains the words, whatever the case."""
+def search(rows: DataFrame, words: str, columns: list[str], variants: str | None = None, personas: list[str] | None = None) -> DataFrame:
+    """Rows one of whose columns, or one of whose ``variants`` (an array with ``generated``), contains the words, whatever the case; of the given personas."""
+    low = words.lower()
+    has = lambda x: F.contains(F.lower(F.coalesce(x, F.lit(""))), F.lit(low))
     hit = F.lit(False)
     for c in columns:
-        hit = hit | F.contains(F.lower(F.coalesce(c, F.lit(""))), F.lit(words.lower()))
-    return rows.filter(hit)
+        hit = hit | has(F.col(c))
+    if variants:
+        hit = hit | F.exists(F.coalesce(F.col(variants)["generated"], F.array().cast("array<string>")), has)
+    return (rows.filter(F.col("persona_id").isin(*personas)) if personas else rows).filter(hit)
+
+
+def in_folders(rows: DataFrame, folders: list[str]) -> DataFrame:
+    """Rows of the chosen folders; all without a choice."""
+    return rows.filter(F.col("folder").isin(*folders)) if folders else rows
 
 
 def compat_key(row_sha: Column, row_path: Column, slice_hash: Column, manifest_path: Column, path: Column) -> Column:
-    """The key of what a dump can be compared with: the first that is there of validation hash, its path, the hash of the prompts, the manifest's path; else the dump's own path."""
-    some = lambda kind, x: F.when(F.coalesce(x, F.lit("")) != "", group_key(F.lit(kind), x))
-    return F.coalesce(some("val_sha256", row_sha), some("val_path", row_path), some("slice", slice_hash), some("manifest", manifest_path), group_key(F.lit("path"), F.sha2(path.cast("binary"), 256)))
+    """The key of what a dump can be compared with: the first that is there of validation hash, its path, the hash of the prompts, the manifest's path; else the hash of the dump's own path."""
+    some = lambda kind, x: F.when(strip(F.coalesce(x, F.lit(""))) != "", group_key(F.lit(kind), strip(x)))
+    return F.coalesce(some("valsha", row_sha), some("path", row_path), some("evalset", slice_hash), some("manifest_path", manifest_path), group_key(F.lit("unknown"), F.substring(F.sha2(path.cast("binary"), 256), 1, 16)))
+
+
+def group_title(groups: DataFrame) -> DataFrame:
+    """``title`` of rows (gkey, runs): what the key stands for and how many runs it has."""
+    kind, value = F.substring_index("gkey", "\u001f", 1), F.substring_index("gkey", "\u001f", -1)
+    name = F.substring_index(value, "/", -1)
+    head = (
+        F.when(kind == "valsha", F.concat(F.lit("Val file (sha256) "), F.substring(value, 1, 12), F.lit("\u2026"))).when(kind == "path", name)
+        .when(kind == "evalset", F.concat(F.lit("Eval slice \u00b7 "), F.substring(value, 1, 10), F.lit("\u2026"))).when(kind == "manifest_path", F.concat(F.lit("Manifest only \u00b7 "), name)).otherwise(F.lit("Unknown val"))
+    )
+    return groups.withColumn("title", F.concat(head, F.lit(" \u2014 "), F.col("runs").cast("string"), F.lit(" runs")))
 
 
 def slice_fingerprint(rows: DataFrame) -> DataFrame:
-    """Per dump (source): rows and the hash of its sorted keys."""
+    """Per dump (source): rows and the hash of its sorted keys.
+
+    A dump is the answers to one validation set, of some thousand rows; its keys meet in one row.
+    """
     return rows.groupBy("source").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("key")), "\n").cast("binary"), 256).alias("fingerprint"))
 
 
+def fallback_key(labels: Column) -> Column:
+    """The key of a group that no saved dumps form, from an array of its labels."""
+    return group_key(F.lit("checkpoint"), F.substring(F.sha2(F.array_join(F.array_sort(F.array_distinct(labels)), "|").cast("binary"), 256), 1, 24))
+
+
 def smallest_superset(groups: DataFrame, ids: list[str]) -> DataFrame:
-    """The group (gkey, members) with fewest members that has all ids; the first by key of equal ones."""
+    """One row: gkey of the group (gkey, members) with fewest members that has all ids, the first by key of equal ones; else the fallback key. ``found`` tells which."""
     wanted = F.array(*map(F.lit, ids))
     g = groups.filter(F.size(F.array_except(wanted, F.col("members"))) == 0)
-    return g.agg(F.min_by("gkey", F.struct(F.size("members"), "gkey")).alias("gkey"))
+    best = g.agg(F.min_by("gkey", F.struct(F.size("members"), "gkey")).alias("g"))
+    return best.select(F.coalesce("g", fallback_key(wanted)).alias("gkey"), F.col("g").isNotNull().alias("found"))
+
+
+def keys_of(sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """``sets`` (path, labels) with gkey and ``found``, as ``smallest_superset`` has them, for all sets at once.
+
+    Sets and groups are joined by their labels and a group that has them all has as many; no set meets a group without a label in common.
+    """
+    size = groups.select("gkey", F.size("members").alias("n"), F.explode("members").alias("label"))
+    asked = sets.select("path", F.size("labels").alias("wanted"), F.explode("labels").alias("label"))
+    full = asked.join(size, "label").groupBy("path", "wanted", "gkey", "n").agg(F.count("*").alias("held")).filter("held = wanted")
+    best = full.groupBy("path").agg(F.min_by("gkey", F.struct("n", "gkey")).alias("g"))
+    return sets.join(best, "path", "left").select(*sets.columns, F.coalesce("g", fallback_key(F.col("labels"))).alias("gkey"), F.col("g").isNotNull().alias("found"))
+
+
+def provenance(rows: DataFrame, by_hash: bool = False) -> DataFrame:
+    """One row on runs (eval_val_jsonl, eval_val_sha256): the path (or hash) that all share; raises where a run has none, or another."""
+    c, what = F.col("eval_val_sha256" if by_hash else "eval_val_jsonl"), "hash" if by_hash else "path"
+    value = F.nullif(strip(c), F.lit(""))
+    a = rows.agg(F.countDistinct(value).alias("n"), F.count_if(value.isNull()).alias("missing"), F.min(value).alias("value"))
+    ok = F.when(F.col("missing") > 0, F.raise_error(F.lit(f"a run has no validation {what}")).cast("string"))
+    ok = ok.when(F.col("n") > 1, F.raise_error(F.lit(f"the runs differ in their validation {what}")).cast("string")).otherwise(F.col("value"))
+    return a.select(F.lit("sha256" if by_hash else "path").alias("mode"), ok.alias("value"))
 
 
-def provenance(rows: DataFrame) -> DataFrame:
-    """One row: distinct validation paths and hashes of all runs, and whether they agree."""
-    a = rows.agg(F.countDistinct("eval_val_jsonl").alias("paths"), F.countDistinct("eval_val_sha256").alias("hashes"))
-    return a.withColumn("agrees", (F.col("paths") <= 1) & (F.col("hashes") <= 1))
+def variant_metadata(sources: DataFrame) -> DataFrame:
+    """(variant_id, path, label) of dumps (path, source, label); without a label the file's name."""
+    return sources.select(variant_id(F.col("path"), F.col("source")).alias("variant_id"), "path", F.coalesce(F.nullif(F.col("label"), F.lit("")), F.substring_index("path", "/", -1)).alias("label"))
 
 
 def aligned(generated: DataFrame, reference: DataFrame) -> DataFrame:

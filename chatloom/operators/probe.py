@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,10 +28,20 @@ def ranked(sums: DataFrame) -> DataFrame:
 
 
 def gini(rows: DataFrame, group: str, value: str) -> DataFrame:
-    """Gini coefficient by group; negative values count as 0, a group of zeros has 0."""
-    x = rows.withColumn("x", F.greatest(F.coalesce(F.col(value), F.lit(0.0)), F.lit(0.0)))
-    c = x.withColumn("i", F.row_number().over(Window.partitionBy(group).orderBy("x")))
-    g = c.groupBy(group).agg(F.count("*").alias("n"), F.sum("x").alias("s"), F.sum(F.col("i") * F.col("x")).alias("ix"))
+    """Gini coefficient by group; null and negative values count as 0, a group of zeros has 0.
+
+    Ranks are those before a value's bin, by prefix sums over bins (256 to a factor of 2), and the place in it, so a task sorts
+    a bin and never a group. Zeros add nothing but their number.
+    """
+    x = rows.select(F.col(group), F.greatest(F.coalesce(F.col(value).cast("double"), F.lit(0.0)), F.lit(0.0)).alias("x"))
+    x = x.withColumn("bin", F.when(F.col("x") > 0, F.floor(F.log2("x") * 256)).otherwise(F.lit(-(2**40))))
+    bins = x.groupBy(group, "bin").agg(F.count("*").alias("n"), F.sum("x").alias("s"))
+    ahead = Window.partitionBy(group).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy(group, "bin").orderBy("x"))
+    inner = x.filter("x > 0").withColumn("i", place).groupBy(F.col(group).alias("__g"), F.col("bin").alias("__b")).agg(F.sum(F.col("i") * F.col("x")).alias("ix"))
+    both = bins.join(inner, F.col(group).eqNullSafe(F.col("__g")) & (F.col("bin") == F.col("__b")), "left")
+    g = both.groupBy(group).agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum(F.coalesce("ix", F.lit(0.0)) + F.col("before") * F.col("s")).alias("ix"))
     n = F.col("n")
     return g.select(group, n, F.coalesce(F.try_divide(2 * F.col("ix"), n * F.col("s")) - (n + 1) / n, F.lit(0.0)).alias("gini"))
 
@@ -46,6 +56,33 @@ def heat_map(records: DataFrame, modules: list[str]) -> DataFrame:
     return records.filter("layer is not null").groupBy("layer").pivot("module", modules).sum("grad_norm").fillna(0.0).orderBy("layer")
 
 
+IGNORE = -100  # fixed value: the label of a token that isn't learned from
+
+
+def supervised_labels(ids: Column, mask: Column, instruction: list[int], response: list[int]) -> Column:
+    """Labels of an array of token ids: those of responses as they are, others IGNORE.
+
+    A response begins after the marks ``response`` and ends before the next marks ``instruction``, or where the attention mask
+    ends. Every token takes the last mark that is whole before it, in one pass over the places where marks begin.
+    """
+    size = F.size(F.filter(mask, lambda m: m != 0))
+    places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+    has = lambda i, marks: (i + len(marks) <= size) & (F.slice(ids, i + 1, len(marks)) == F.array(*map(F.lit, marks)).cast("array<bigint>"))
+    step = lambda acc, i: F.when((acc["until"] <= i) & ~acc["on"] & has(i, response), F.struct(F.lit(True).alias("on"), (i + len(response)).alias("until"), acc["out"].alias("out"))).when(
+        acc["on"] & (i >= acc["until"]) & has(i, instruction), F.struct(F.lit(False).alias("on"), i.alias("until"), acc["out"].alias("out"))
+    ).otherwise(acc)
+    put = lambda acc, i: F.struct(acc["on"].alias("on"), acc["until"].alias("until"), F.concat(acc["out"], F.array(F.when(acc["on"] & (i >= acc["until"]), F.get(ids, i)).otherwise(F.lit(IGNORE).cast("bigint")))).alias("out"))
+    start = F.struct(F.lit(False).alias("on"), F.lit(0).alias("until"), F.array().cast("array<bigint>").alias("out"))
+    found = F.aggregate(places, start, lambda acc, i: put(step(acc, i), i))["out"]
+    return F.concat(found, F.array_repeat(F.lit(IGNORE).cast("bigint"), F.size(ids) - size))
+
+
+def supervised_tokens(rows: DataFrame, instruction: list[int], response: list[int]) -> DataFrame:
+    """Rows (ids, mask) with ``labels``, and ``supervised``, how many tokens are learned from."""
+    labelled = rows.withColumn("labels", supervised_labels(F.col("ids"), F.col("mask"), instruction, response))
+    return labelled.withColumn("supervised", F.size(F.filter("labels", lambda x: x != IGNORE)))
+
+
 def losses(log: DataFrame) -> DataFrame:
     return log.groupBy("run_id").agg(F.min_by("loss", "step").alias("first_loss"), F.max_by("loss", "step").alias("last_loss"), F.avg("loss").alias("mean_loss"))
 
@@ -60,3 +97,15 @@ def adapter_census(tensors: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = pairs.withColumns({"rank": F.element_at("a", 1), "paired": F.element_at("a", 1).eqNullSafe(F.try_element_at("b", F.lit(2)))})
     layers = x.withColumn("layer", F.expr(r"try_cast(nullif(regexp_extract(key, '\\.(\\d+)\\.', 1), '') AS INT)")).groupBy("layer").agg(F.count("*").alias("n"))
     return pairs, layers
+
+
+def adapter_buckets(tensors: DataFrame, depth: int = 3) -> DataFrame:
+    """Tensors and parameters by the first parts of their keys and by data type."""
+    size = F.aggregate("shape", F.lit(1).cast("long"), lambda acc, n: acc * n)
+    prefix = F.array_join(F.slice(F.split("key", r"\."), 1, depth), ".")
+    return tensors.withColumns({"prefix": prefix, "params": size}).groupBy("prefix", "dtype").agg(F.count("*").alias("n"), F.sum("params").alias("params"))
+
+
+def adapter_rank(pairs: DataFrame) -> DataFrame:
+    """Ranks by how many pairs have them, the most frequent first, the larger of equal ones."""
+    return pairs.filter("rank is not null").groupBy("rank").agg(F.count("*").alias("votes"), F.count_if("paired").alias("paired")).orderBy(F.col("votes").desc(), F.col("rank").desc())

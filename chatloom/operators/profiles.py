@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .dedup import materialized
 
 #: Fillers without a profile.
 FILLERS = ("lol", "bro", "ngl", "tbh", "fr", "lowkey")
@@ -53,38 +54,69 @@ def ngram_counts(texts: DataFrame, n: int) -> DataFrame:
     return texts.select("persona_id", F.explode(T.grams(T.style_words(F.col("text")), n)).alias("token")).groupBy("persona_id", "token").agg(F.count("*").alias("count"))
 
 
-def log_odds(counts: DataFrame, alpha: float = 0.01, top_k: int = 25, min_count: int = 3) -> DataFrame:
-    """(persona_id, token, z, count, rank): log-odds with a Dirichlet prior of each persona against all others.
+def gram_hashes(words, n: int):
+    """Hashes of the n-grams of an array of words; the same as of the joined words of ``T.grams`` in number and order."""
+    runs = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(n)]))
+    return T.let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.when(F.size(h) >= n, runs(h)).otherwise(F.array().cast("array<bigint>")))
 
-    The vocabulary is that of all personas, the persona itself included. Ties go to the token that sorts first.
-    """
-    everyone = counts.groupBy("token").agg(F.sum("count").alias("yg"))
-    size = everyone.agg(F.count("*").alias("v"), F.sum("yg").alias("ng"))
+
+def _scored(counts: DataFrame, key: str, alpha: float, min_count: int) -> DataFrame:
+    """``counts`` (persona_id, key, count) of ``min_count`` and more with z; the vocabulary's sums come with the key's rows in one shuffle."""
+    of = counts.groupBy(key).agg(F.sum("count").alias("yg"), F.collect_list(F.when(F.col("count") >= min_count, F.struct("persona_id", "count"))).alias("own"))
+    # One row, and a row a persona: they are joined as scalars are.
+    size = of.agg(F.count("*").alias("v"), F.sum("yg").alias("ng"))
     mine = counts.groupBy("persona_id").agg(F.sum("count").alias("np"))
-    c = counts.filter(F.col("count") >= min_count).join(everyone, "token").join(mine, "persona_id").join(F.broadcast(size), F.lit(True))
+    c = of.select(key, "yg", F.explode("own").alias("o")).select("o.persona_id", key, F.col("o.count").alias("count"), "yg")
+    c = c.join(mine, "persona_id").join(F.broadcast(size), F.lit(True))
     yp, a0 = F.col("count"), F.lit(alpha) * F.col("v")
     yn, nn = F.greatest(F.col("yg") - yp, F.lit(0)), F.col("ng") - F.col("np")
     num = F.try_divide(yp + alpha, F.col("np") + a0 - yp - alpha)
     den = F.try_divide(yn + alpha, nn + a0 - yn - alpha)
     var = 1 / (yp + alpha) + 1 / F.greatest(yn + alpha, F.lit(1e-9))
-    c = c.withColumns({"num": num, "den": den}).filter("num > 0 and den > 0").withColumn("z", (F.ln("num") - F.ln("den")) / F.sqrt(var))
+    c = c.withColumns({"num": num, "den": den}).filter("num > 0 and den > 0")
+    return c.withColumn("z", (F.ln("num") - F.ln("den")) / F.sqrt(var)).select("persona_id", key, "z", "count")
+
+
+def _best(scored: DataFrame, top_k: int) -> DataFrame:
     w = Window.partitionBy("persona_id").orderBy(F.col("z").desc(), "token")
-    return c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k).select("persona_id", "token", "z", "count", "rank")
+    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_k).select("persona_id", "token", "z", "count", "rank")
+
+
+def log_odds(counts: DataFrame, alpha: float = 0.01, top_k: int = 25, min_count: int = 3) -> DataFrame:
+    """(persona_id, token, z, count, rank): log-odds with a Dirichlet prior of each persona against all others.
+
+    The vocabulary is that of all personas, the persona itself included. Ties go to the token that sorts first.
+    """
+    return _best(_scored(counts, "token", alpha, min_count), top_k)
+
+
+def characteristic(texts: DataFrame, n: int, alpha: float = 0.01, top_k: int = 25, min_count: int = 3) -> DataFrame:
+    """``log_odds`` of the n-grams of texts (persona_id, text), counted by 64-bit hashes; only the grams that come first, ties included, are read as text."""
+    words = texts.select("persona_id", T.style_words(F.col("text")).alias("w"))
+    counts = words.select("persona_id", F.explode(gram_hashes(F.col("w"), n)).alias("h")).groupBy("persona_id", "h").agg(F.count("*").alias("count"))
+    scored = _scored(counts, "h", alpha, min_count)
+    first = materialized(scored.withColumn("r", F.rank().over(Window.partitionBy("persona_id").orderBy(F.col("z").desc()))).filter(F.col("r") <= top_k).drop("r"), "log-odds")
+    pairs = words.select(F.explode(F.arrays_zip(gram_hashes(F.col("w"), n).alias("h"), T.grams(F.col("w"), n).alias("t"))).alias("g"))
+    names = pairs.select(F.col("g.h").alias("h"), F.col("g.t").alias("token")).join(first.select("h").distinct(), "h", "left_semi").dropDuplicates(["h"])
+    return _best(first.join(names, "h"), top_k)
 
 
 def build_profiles(texts: DataFrame, top_k: int = 25, sizes=(1, 2, 3)) -> DataFrame:
-    """A row a persona: persona_id, length, lowercase_start_rate, emoji, burst_size, top_fillers (by ``ngram``)."""
+    """A row a persona: persona_id, length, lowercase_start_rate, emoji, burst_size, burst_rate, top_fillers (by ``ngram``).
+
+    burst_rate is a figure that only hand-made profiles have, and null here; prompts read it.
+    """
     out = style_rates(texts).join(length_stats(texts), "persona_id", "left")
     fillers = []
     for n in sizes:
-        top = log_odds(ngram_counts(texts, n), top_k=top_k)
+        top = characteristic(texts, n, top_k=top_k)
         entry = F.struct("rank", "token", F.round("z", 3).alias("z"), F.col("count").cast("long").alias("count"))
         lists = top.groupBy("persona_id").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.struct(e["token"].alias("token"), e["z"].alias("z"), e["count"].alias("count"))).alias(f"t{n}"))
         out = out.join(lists, "persona_id", "left")
         fillers.append(F.coalesce(F.col(f"t{n}"), F.array().cast("array<struct<token:string,z:double,count:bigint>>")).alias(f"{n}gram"))
     zero = lambda c, t: F.coalesce(F.col(c), F.lit(0)).cast(t)
     length = F.struct(zero("n", "long").alias("n"), zero("mean_words", "double").alias("mean_words"), zero("p50", "int").alias("p50"), zero("p95", "int").alias("p95"))
-    return out.select("persona_id", length.alias("length"), "lowercase_start_rate", F.struct("unicode_per_turn", "custom_per_turn").alias("emoji"), "burst_size", F.struct(*fillers).alias("top_fillers"))
+    return out.select("persona_id", length.alias("length"), "lowercase_start_rate", F.struct("unicode_per_turn", "custom_per_turn").alias("emoji"), "burst_size", F.lit(None).cast("double").alias("burst_rate"), F.struct(*fillers).alias("top_fillers"))
 
 
 def drift(generated: DataFrame, profiles: DataFrame) -> DataFrame:

@@ -25,5 +25,5 @@ RAW_MESSAGE = f"""id STRING, timestamp STRING, edited_timestamp STRING, content
 attachments ARRAY<STRUCT<url:STRING,filename:STRING>>, embeds ARRAY<STRING>,
 referenced_message STRUCT<id:STRING,content:STRING,author:{_AUTHOR}>, message_reference STRUCT<message_id:STRING>"""
 
-RUN = """run_id STRING, created_utc STRING, label STRING, model STRUCT<name_or_path:STRING>, scores MAP<STRING,DOUBLE>,
-persona STRUCT<generations_path:STRING>"""
+RUN = """run_id STRING, created_utc STRING, label STRING, model STRUCT<name_or_path:STRING>, scores MAP<STRING,STRING>,
+persona STRUCT<generations_path:STRING>, config STRUCT<val_jsonl:STRING>"""

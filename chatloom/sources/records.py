@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,32 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, mode: str = "FAILFAS
     return spark.read.schema(schema).option("mode", mode).json(path)
 
 
+def read_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of JSON lines; the first malformed line of a file is an error that names file and line.
+
+    Lines are checked in one pass; only files that have a bad one are looked at again for its number.
+    """
+    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path")).filter(F.trim("value") != "")
+    bad = text.filter(_malformed("value")).agg(F.min("path").alias("path")).head()["path"]
+    if bad is not None:
+        lines = spark.read.text(bad, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("at", "value"))
+        at = lines.filter((F.trim("value") != "") & _malformed("value")).agg(F.min("at").alias("at")).head()["at"]
+        raise ValueError(f"{bad}:{at + 1}: not a JSON object")
+    return read_jsonl(spark, path, schema)
+
+
+def _malformed(c: str) -> Column:
+    """Whether a line isn't a JSON object."""
+    return F.from_json(F.col(c), "map<string,string>", {"mode": "PERMISSIVE"}).isNull() | ~F.ltrim(c).startswith("{")
+
+
+def head_rows(spark: SparkSession, path: str, schema: str, n: int) -> DataFrame:
+    """The first n good rows, by file and place in it."""
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("line"))
+    good = rows.filter((F.trim("value") != "") & ~_malformed("value")).orderBy("path", "line").limit(n)
+    return good.select("path", "line", F.from_json("value", schema).alias("r")).orderBy("path", "line").select("r.*")
+
+
 def tolerant(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the malformed lines."""
     both = spark.read.schema(f"{schema}, _corrupt_record STRING").option("mode", "PERMISSIVE").json(path)
@@ -56,7 +83,10 @@ def write_by_folder(messages: DataFrame, out: str, fmt: str = "parquet") -> Data
         raise ValueError(f"unknown format {fmt!r}")
     writer = message_records(messages).write.mode("overwrite").partitionBy("folder")
     writer.parquet(out) if fmt == "parquet" else writer.json(out)
-    return messages.groupBy("folder").count()
+    # What was written is counted, from the folders' names and the files' numbers of rows.
+    spark = messages.sparkSession
+    back = spark.read.parquet(out) if fmt == "parquet" else spark.read.text(out)
+    return back.select(F.col("folder").cast("string").alias("folder")).groupBy("folder").count()
 
 
 def write_jsonl(df: DataFrame, path: str, order: list | None = None, one_file: bool = False, mode: str = "overwrite") -> None:
@@ -77,8 +107,40 @@ def read_generations(spark: SparkSession, path: str) -> DataFrame:
     return read_jsonl(spark, path, GENERATION)
 
 
+def read_generations_checked(spark: SparkSession, path: str) -> tuple[DataFrame, str | None]:
+    """Rows and no error, or no row and the first error."""
+    try:
+        return read_strict(spark, path, GENERATION), None
+    except (ValueError, AnalysisException) as e:
+        return spark.createDataFrame([], GENERATION), str(e).split("\n")[0]
+
+
+def read_generations_lenient(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Good rows with their file's path."""
+    return spark.read.schema(GENERATION).option("mode", "DROPMALFORMED").json(paths).select("*", F.col("_metadata.file_path").alias("path"))
+
+
+def write_generations(rows: DataFrame, path: str) -> None:
+    """A dump of generations, in order of ``place`` if there is one."""
+    names = [f.name for f in _parsed(GENERATION)]
+    order = ["place"] if "place" in rows.columns else None
+    kept = rows.select(*[c for c in rows.columns if c in names or c == "place"])
+    write_jsonl(kept.orderBy(*order).drop("place") if order else kept, path)
+
+
+def _parsed(schema: str):
+    from pyspark.sql.types import StructType
+
+    return StructType.fromDDL(schema).fields
+
+
 def read_comparisons(spark: SparkSession, path: str) -> DataFrame:
-    """Lenient, with file, its time and the row's place in it."""
+    """Lenient, with file, its time and the row's place in it; no row where there is no file."""
+    from .stores import Files
+
+    files = Files(spark)
+    if "*" not in path and not files.is_file(path) and not files.is_dir(path):
+        return spark.createDataFrame([], f"{COMPARISON}, path STRING, mtime TIMESTAMP, line BIGINT")
     base = spark.read.schema(COMPARISON).option("mode", "DROPMALFORMED").json(path)
     return base.select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("mtime"), F.monotonically_increasing_id().alias("line"))
 
@@ -90,8 +152,19 @@ def ok_comparisons(rows: DataFrame) -> DataFrame:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Run documents; unreadable ones are dropped."""
-    return spark.read.schema(RUN).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+    """Run documents; unreadable ones are dropped. Scores may be nested by one level, whose keys are joined by a point; what isn't a number is left out."""
+    raw = spark.read.schema(RUN).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+    return raw.withColumn("scores", flat_score_map(F.col("scores")))
+
+
+def flat_score_map(scores) -> Column:
+    """A map of numbers from a map of JSON values: numbers, booleans as 1 and 0, and one level of objects."""
+    inner = lambda v: F.from_json(v, "map<string,string>")
+    number = lambda x: F.when(x == "true", F.lit(1.0)).when(x == "false", F.lit(0.0)).otherwise(F.when(x.rlike(r"^-?[0-9]"), x.try_cast("double")))
+    is_object = lambda v: F.ltrim(v).startswith("{")
+    own = F.transform(F.map_entries(F.map_filter(scores, lambda k, v: ~is_object(v))), lambda e: F.struct(e["key"].alias("key"), number(e["value"]).alias("value")))
+    deep = F.flatten(F.transform(F.map_entries(F.map_filter(scores, lambda k, v: is_object(v))), lambda e: F.transform(F.map_entries(inner(e["value"])), lambda x: F.struct(F.concat(e["key"], F.lit("."), x["key"]).alias("key"), number(x["value"]).alias("value")))))
+    return F.map_from_entries(F.filter(F.concat(F.coalesce(own, F.array().cast("array<struct<key:string,value:double>>")), F.coalesce(deep, F.array().cast("array<struct<key:string,value:double>>"))), lambda e: e["value"].isNotNull()))
 
 
 def list_runs(runs: DataFrame) -> DataFrame:
