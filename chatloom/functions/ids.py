@@ -67,12 +67,11 @@ def group_key(kind, value) -> Column:
 
 def bytes_label(n) -> Column:
     n = n.cast("double")
+    shown = lambda x, digits, unit: F.format_string(f"%.{digits}f {unit}", F.bround(x, digits))
     return (
-        F.when(n < 1024, F.concat(n.cast("long").cast("string"), F.lit(" B")))
-        .when(n < 1024**2, F.concat(F.format_number(n / 1024, "0.0"), F.lit(" KB")))
-        .when(n < 1024**3, F.concat(F.format_number(n / 1024**2, "0.0"), F.lit(" MB")))
-        .otherwise(F.concat(F.format_number(n / 1024**3, "0.00"), F.lit(" GB")))
-    )
+        F.when(n < 1024, F.concat(n.cast("long").cast("string"), F.lit(" B"))).when(n < 1024**2, shown(n / 1024, 1, "KB"))
+        .when(n < 1024**3, shown(n / 1024**2, 1, "MB")).otherwise(shown(n / 1024**3, 2, "GB"))
+    )
 
 
 def display_label(alias, label, run, width: int = 24) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import prompts as P
 from ..functions import text as T
 from ..operators import balance, dedup, elo, evals, merge, messages, probe, profiles, sessionize, sft, status, stylometry, template, tokens
+from . import curate
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -54,8 +55,8 @@ MESSAGES = """m AS (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY ts
     CASE WHEN event_id % 11 = 0 THEN 6 WHEN event_id % 7 = 0 THEN 19 ELSE 0 END AS type FROM events WHERE user_id IS NOT NULL))"""
 
 
-def turn_sql(merge_s: int, gap_s: int) -> str:
-    return f"""g AS (SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER w AS dt, lag(author_id) OVER w AS pa FROM m WINDOW w AS (PARTITION BY folder ORDER BY seq)),
+def turn_sql(merge_s: int, gap_s: int, source: str = "m") -> str:
+    return f"""g AS (SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER w AS dt, lag(author_id) OVER w AS pa FROM {source} WINDOW w AS (PARTITION BY folder ORDER BY seq)),
 f AS (SELECT *, CASE WHEN pa = author_id AND dt BETWEEN 0 AND {merge_s * 1000000} THEN 0 ELSE 1 END AS nt FROM g),
 s AS (SELECT *, CASE WHEN nt = 1 AND (dt IS NULL OR dt > {gap_s * 1000000}) THEN 1 ELSE 0 END AS ns FROM f),
 x AS (SELECT *, sum(nt) OVER w AS turn_no, sum(ns) OVER w AS session_no FROM s WINDOW w AS (PARTITION BY folder ORDER BY seq ROWS UNBOUNDED PRECEDING)),
@@ -112,14 +113,25 @@ def session_gates(spark, d):
     return _summaries(spark, d).select("folder", F.col("session_no").cast("long").alias("session_no"), "n_turns", "n_authors", F.col("n_words").cast("long").alias("n_words"), F.round("top_share", 6).alias("top_share"), "drop_reason")
 
 
-@query(f"WITH {_GATES} SELECT count(*) AS sessions_built, count(*) FILTER (WHERE drop_reason = 'short_session') AS dropped_short_session, count(*) FILTER (WHERE drop_reason = 'single_author') AS dropped_single_author, count(*) FILTER (WHERE drop_reason = 'monologue') AS dropped_monologue, count(*) FILTER (WHERE drop_reason IS NULL) AS sessions_kept FROM r")
+_FILTER = r"""CASE WHEN type NOT IN (0, 19) THEN 'system_type' WHEN type = 19 AND event_id % 3 = 0 THEN 'deleted_ref' WHEN regexp_matches(trim(content), '^[!?/][A-Za-z][A-Za-z0-9_-]*(\s|$)') THEN 'bot_command' END"""
+
+
+_CURATED = f"""{MESSAGES}, fm AS (SELECT *, {_FILTER} AS drop_reason FROM m), km AS (SELECT * FROM fm WHERE drop_reason IS NULL), {turn_sql(1800, 3600, 'km')},
+td AS (SELECT *, row_number() OVER (PARTITION BY folder, session_no, author_id, text ORDER BY turn_no) > 1 AS dup FROM t),
+a AS (SELECT folder, session_no, author_id, count(*) AS n, sum(len({WORDS.format('text')})) AS words FROM td WHERE NOT dup GROUP BY ALL),
+z AS (SELECT folder, session_no, sum(n)::BIGINT AS n_turns, count(*) AS n_authors, max(words)::DOUBLE / greatest(sum(words), 1)::DOUBLE AS share FROM a GROUP BY ALL),
+r AS (SELECT *, CASE WHEN n_turns < 2 THEN 'short_session' WHEN n_authors < 2 THEN 'single_author' WHEN share > 0.5 THEN 'monologue' END AS drop_reason FROM z)"""
+_N = "count(*) FILTER (WHERE drop_reason = '{0}') AS dropped_{0}"
+
+
+@query(f"""WITH {_CURATED}, mx AS (SELECT count(*) AS messages_in, {', '.join(_N.format(k) for k in ('system_type', 'deleted_ref', 'bot_command', 'empty'))} FROM fm),
+ty AS (SELECT count(*) FILTER (WHERE dup) AS dropped_exact_turn_dup, count(*) AS turns_built FROM td),
+sv AS (SELECT count(*) AS sessions_built, {', '.join(_N.format(k) for k in ('short_session', 'single_author', 'monologue', 'lang', 'near_dup'))}, count(*) FILTER (WHERE drop_reason IS NULL) AS sessions_kept FROM r) SELECT * FROM mx, ty, sv""")
 def curate_report(spark, d):
-    s = _summaries(spark, d)
-    n = lambda r: F.count_if(F.col("drop_reason") == r).alias(f"dropped_{r}")
-    return s.agg(F.count("*").alias("sessions_built"), n("short_session"), n("single_author"), n("monologue"), F.count_if(F.col("drop_reason").isNull()).alias("sessions_kept"))
+    m = event_messages(spark, d).withColumns({"text": F.col("content"), "drop_reason": messages.drop_reason()})
+    return curate.from_normalized(m, curate.Options(1800, 60, monologue_max_share=0.5, near_dedup_threshold=None)).report
 
 
-_FILTER = r"""CASE WHEN type NOT IN (0, 19) THEN 'system_type' WHEN type = 19 AND event_id % 3 = 0 THEN 'deleted_ref' WHEN regexp_matches(trim(content), '^[!?/][A-Za-z][A-Za-z0-9_-]*(\s|$)') THEN 'bot_command' END"""
 
 
 @query(f"WITH {MESSAGES} SELECT id, {_FILTER} AS drop_reason FROM m")
@@ -187,9 +199,13 @@ def word_counts(spark, d):
 # -- near-duplicates ---------------------------------------------------------------------------------------
 
 _SETS = f"""w AS (SELECT doc_id AS id, lang AS scope, regexp_extract_all(lower(text), '\\S+') AS w FROM documents),
-s AS (SELECT DISTINCT scope, id, array_to_string(list_slice(w, i, i + 4), ' ') AS x FROM (SELECT scope, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
-n AS (SELECT scope, id, count(*) AS size FROM s GROUP BY ALL),
-c AS (SELECT p.scope, p.id AS a, q.id AS b, count(*) AS common FROM s p JOIN s q ON p.scope = q.scope AND p.x = q.x AND p.id < q.id GROUP BY ALL)"""
+s0 AS (SELECT DISTINCT scope, id, array_to_string(list_slice(w, i, i + 4), ' ') AS x FROM (SELECT scope, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+k AS (SELECT scope, id, md5(string_agg(x, '|' ORDER BY x)) AS digest, count(*) AS size FROM s0 GROUP BY ALL),
+members AS (SELECT scope, id, size, min(id) OVER (PARTITION BY scope, digest) AS rep FROM k),
+s AS (SELECT s0.* FROM s0 JOIN members m ON s0.id = m.id AND s0.scope = m.scope WHERE m.id = m.rep),
+n AS (SELECT scope, id, size FROM members WHERE id = rep),
+c AS (SELECT p.scope, p.id AS a, q.id AS b, count(*) AS common FROM s p JOIN s q ON p.scope = q.scope AND p.x = q.x AND p.id < q.id GROUP BY ALL),
+pairs AS (SELECT c.scope, a, b, common, na.size + nb.size - common AS total FROM c JOIN n na ON na.id = a AND na.scope = c.scope JOIN n nb ON nb.id = b AND nb.scope = c.scope WHERE common::DOUBLE / (na.size + nb.size - common)::DOUBLE >= 0.85)"""
 
 
 def _doc_texts(spark, d):
@@ -197,13 +213,25 @@ def _doc_texts(spark, d):
     return t.select(F.col("lang").alias("scope"), F.col("doc_id").alias("id"), "text", T.word_count("text").alias("priority"))
 
 
-@query(f"WITH {_SETS} SELECT c.scope, a, b, common, na.size + nb.size - common AS total FROM c JOIN n na ON na.id = a AND na.scope = c.scope JOIN n nb ON nb.id = b AND nb.scope = c.scope WHERE common::DOUBLE / (na.size + nb.size - common)::DOUBLE >= 0.85")
+@query(f"WITH {_SETS} SELECT scope, a, b, common, total FROM pairs")
 def shingle_jaccard_pairs(spark, d):
     p = dedup.similar_pairs(_doc_texts(spark, d), 0.85)
     return p.select("scope", "a", "b", F.col("common").cast("long").alias("common"), F.col("union").cast("long").alias("total"))
 
 
-@query()
+@query(f"WITH {_SETS} SELECT scope, id, rep FROM members")
+def shingle_classes(spark, d):
+    return dedup.shingle_classes(_doc_texts(spark, d))[0].select("scope", "id", "rep")
+
+
+# The greedy choice, class by class in order: a list of who is kept grows, and a class joins it if no similar one is in it.
+@query(f"""WITH RECURSIVE {_SETS}, p AS (SELECT doc_id AS id, CAST(len({WORDS.format('text')}) AS BIGINT) AS priority FROM documents),
+f AS (SELECT m.scope, m.rep, m.id, row_number() OVER (PARTITION BY m.scope, m.rep ORDER BY p.priority DESC, m.id) AS place, p.priority FROM members m JOIN p ON p.id = m.id),
+o AS (SELECT scope, rep, row_number() OVER (ORDER BY priority DESC, id) AS i FROM f WHERE place = 1 AND (rep IN (SELECT a FROM pairs) OR rep IN (SELECT b FROM pairs))),
+e AS (SELECT o.i, o.rep, list(CASE WHEN pairs.a = o.rep THEN pairs.b ELSE pairs.a END) AS others FROM o JOIN pairs ON pairs.a = o.rep OR pairs.b = o.rep GROUP BY ALL),
+g AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS kept UNION ALL SELECT e.i, CASE WHEN len(list_intersect(g.kept, e.others)) = 0 THEN list_append(g.kept, e.rep) ELSE g.kept END FROM g JOIN e ON e.i = g.i + 1),
+z AS (SELECT kept FROM g ORDER BY i DESC LIMIT 1)
+SELECT d.lang AS scope, d.doc_id AS id, coalesce(f.place = 1 AND (f.rep NOT IN (SELECT rep FROM e) OR list_contains((SELECT kept FROM z), f.rep)), true) AS kept FROM documents d LEFT JOIN f ON f.id = d.doc_id""")
 def near_dup_keep(spark, d):
     return dedup.near_dedup(_doc_texts(spark, d), 0.85).select("scope", "id", "kept")
 
@@ -228,16 +256,10 @@ def sft_windows(spark, d):
     return w.select("session_id", "persona_id", F.col("end_idx").cast("long").alias("end_idx"), F.col("start_idx").cast("long").alias("start_idx"), F.col("blocks").cast("long").alias("blocks"))
 
 
-@query()
-def sft_samples(spark, d):
-    s = sft.samples(conversation_turns(spark, d))
-    return s.select("session_id", "persona_id", "system", F.to_json("conversations").alias("conversations"), F.col("meta.num_turns").alias("num_turns"), F.array_join("meta.counterparty_ids", ",").alias("others"))
-
-
-@query("SELECT role AS persona_id, count(DISTINCT conv_id) AS n_sessions, count(*) AS n_samples FROM conversations GROUP BY ALL")
+@query("SELECT role AS persona_id, upper(role) AS persona_name, count(DISTINCT conv_id) AS n_sessions, count(*) AS n_samples FROM conversations GROUP BY ALL")
 def persona_counts(spark, d):
-    meta = F.struct(F.col("author_id").alias("persona_id"), F.col("author_name").alias("persona_name"), "session_id", F.lit("").alias("first_ts"))
-    return sft.perspective_counts(conversation_turns(spark, d).select(meta.alias("meta"))).select("persona_id", "n_sessions", "n_samples")
+    meta = F.struct(F.col("author_id").alias("persona_id"), F.upper("author_name").alias("persona_name"), "session_id", F.lit("").alias("first_ts"))
+    return sft.perspective_counts(conversation_turns(spark, d).select(meta.alias("meta"))).select("persona_id", "persona_name", "n_sessions", "n_samples")
 
 
 @query(f"WITH n AS (SELECT len({WORDS.format('text')}) % 5 AS k FROM conversations) SELECT CASE WHEN k = 4 THEN 'other' ELSE CAST(k AS VARCHAR) END AS num_turns, count(*) AS n FROM n GROUP BY ALL")
@@ -310,7 +332,7 @@ def token_stats(spark, d):
     return s.select("n", "total", *[F.round(c, 6).alias(c) for c in ("mean", "p50", "p95", "p99")], "max")
 
 
-@query(f"WITH {_TOK} SELECT persona_id, CAST(sum(tokens) AS BIGINT) AS tokens FROM k GROUP BY ALL")
+@query(f"WITH {_TOK} SELECT persona_id, CAST(sum(tokens) AS BIGINT) AS tokens, count(*) AS samples FROM k GROUP BY ALL")
 def tokens_by_persona(spark, d):
     return tokens.tokens_by_persona(_tokens(spark, d))
 
@@ -354,18 +376,18 @@ def length_stats(spark, d):
 
 
 @query(r"""SELECT source AS persona_id, round(coalesce(avg(CASE WHEN text <> '' THEN CASE WHEN regexp_matches(text, '^\s*\p{Ll}') THEN 1.0 ELSE 0.0 END END), 0), 6) AS lowercase_start_rate,
-round(avg(len(regexp_extract_all(text, ':[A-Za-z0-9_]+:'))), 6) AS custom_per_turn, round(sum(CASE WHEN text <> '' THEN length(text) - length(replace(text, chr(10), '')) + 1 ELSE 0 END)::DOUBLE / count(*)::DOUBLE, 6) AS burst_size FROM documents GROUP BY ALL""")
+round(avg(len(regexp_extract_all(coalesce(text, ''), '[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]'))), 6) AS unicode_per_turn, round(avg(len(regexp_extract_all(coalesce(text, ''), ':[A-Za-z0-9_]+:'))), 6) AS custom_per_turn, round(sum(CASE WHEN text <> '' THEN length(text) - length(replace(text, chr(10), '')) + 1 ELSE 0 END)::DOUBLE / count(*)::DOUBLE, 6) AS burst_size FROM documents GROUP BY ALL""")
 def style_rates(spark, d):
     s = profiles.style_rates(persona_texts(spark, d))
-    return s.select("persona_id", *[F.round(c, 6).alias(c) for c in ("lowercase_start_rate", "custom_per_turn", "burst_size")])
+    return s.select("persona_id", *[F.round(c, 6).alias(c) for c in ("lowercase_start_rate", "unicode_per_turn", "custom_per_turn", "burst_size")])
 
 
 _GRAM = "t AS (SELECT doc_id, lang AS persona_id, regexp_extract_all(lower(text), '[A-Za-z'']+') AS w FROM documents), g AS (SELECT persona_id, array_to_string(list_slice(w, i, i + 1), ' ') AS token FROM (SELECT persona_id, w, unnest(range(1, len(w))) AS i FROM t WHERE len(w) >= 2)), c AS (SELECT persona_id, token, count(*) AS yp FROM g GROUP BY ALL)"
 
 
-@query(f"WITH {_GRAM} SELECT persona_id, token, yp AS count FROM c WHERE yp >= 20")
+@query(f"WITH {_GRAM} SELECT persona_id, token, yp AS count FROM c")
 def ngram_counts(spark, d):
-    return profiles.ngram_counts(persona_texts(spark, d, "lang"), 2).filter("count >= 20")
+    return profiles.ngram_counts(persona_texts(spark, d, "lang"), 2)
 
 
 @query(f"""WITH {_GRAM}, e AS (SELECT token, sum(yp) AS yg FROM c GROUP BY ALL), k AS (SELECT count(*) AS v, sum(yg) AS ng FROM e), p AS (SELECT persona_id, sum(yp) AS np FROM c GROUP BY ALL),
@@ -373,24 +395,18 @@ j AS (SELECT c.persona_id, c.token, yp::DOUBLE AS yp, greatest(yg - yp, 0)::DOUB
 z AS (SELECT persona_id, token, CAST(yp AS BIGINT) AS count, (ln((yp + 0.01) / (np + a0 - yp - 0.01)) - ln((yn + 0.01) / (nn + a0 - yn - 0.01))) / sqrt(1 / (yp + 0.01) + 1 / greatest(yn + 0.01, 1e-9)) AS z FROM j WHERE np + a0 - yp - 0.01 > 0 AND nn + a0 - yn - 0.01 > 0)
 SELECT persona_id, token, count, round(z, 4) AS z FROM (SELECT *, row_number() OVER (PARTITION BY persona_id ORDER BY z DESC, token) AS rk FROM z) WHERE rk <= 10""")
 def log_odds_top(spark, d):
-    t = profiles.log_odds(profiles.ngram_counts(persona_texts(spark, d, "lang"), 2), top_k=10)
+    t = profiles.characteristic(persona_texts(spark, d, "lang"), 2, top_k=10)
     return t.select("persona_id", "token", F.col("count").cast("long").alias("count"), F.round("z", 4).alias("z"))
 
 
-@query()
-def build_profiles(spark, d):
-    p = profiles.build_profiles(persona_texts(spark, d, "lang"), top_k=10)
-    return p.select("persona_id", F.to_json("length").alias("length"), F.round("lowercase_start_rate", 6).alias("lowercase_start_rate"), F.round("burst_size", 6).alias("burst_size"), F.to_json("top_fillers").alias("top_fillers"))
-
-
-_HEUR = f"""h AS (SELECT source AS persona_id, trim(text, ' ' || chr(10) || chr(9)) AS g, trim(substr(text, 1, 200), ' ' || chr(10) || chr(9)) AS r FROM documents)"""
+_HEUR = """h AS (SELECT source AS persona_id, trim(text, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) AS g, trim(concat(lang, ' ', text, ' ', source), ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) AS r FROM documents)"""
 
 
 @query(f"""WITH {_HEUR} SELECT persona_id, count(*) AS n, round(abs(avg(CASE WHEN g <> '' THEN len({WORDS.format('g')}) END) - avg(CASE WHEN r <> '' THEN len({WORDS.format('r')}) END)), 6) AS avg_length_diff,
 round(avg(CASE WHEN contains(g, '!') THEN 1.0 ELSE 0.0 END), 6) AS exclamation_rate, round(avg(CASE WHEN g <> '' THEN CASE WHEN regexp_matches(g, '^\\p{{Lu}}') THEN 1.0 ELSE 0.0 END END), 6) AS caps_rate,
 round(avg(CASE WHEN contains(lower(g), 'lol') OR contains(lower(g), 'bro') OR contains(lower(g), 'ngl') OR contains(lower(g), 'tbh') OR contains(lower(g), 'fr') OR contains(lower(g), 'lowkey') THEN 1.0 ELSE 0.0 END), 6) AS filler_rate FROM h GROUP BY ALL""")
 def style_heuristics(spark, d):
-    t = table(spark, d, "documents").select(F.col("source").alias("persona_id"), F.col("text").alias("generated"), F.substring("text", 1, 200).alias("reference"))
+    t = table(spark, d, "documents").select(F.col("source").alias("persona_id"), F.col("text").alias("generated"), F.concat(F.coalesce("lang", F.lit("")), F.lit(" "), F.coalesce("text", F.lit("")), F.lit(" "), F.coalesce("source", F.lit(""))).alias("reference"))
     h = profiles.style_heuristics(t)
     return h.select("persona_id", "n", *[F.round(c, 6).alias(c) for c in ("avg_length_diff", "exclamation_rate", "caps_rate", "filler_rate")])
 
@@ -455,9 +471,11 @@ def metric_globs(spark, d):
 @query("WITH s AS (SELECT CAST(user_id % 4 AS VARCHAR) AS run_id, event_type AS metric, strftime(ts, '%Y-%m') AS created_utc, avg(value) AS value FROM events GROUP BY ALL) SELECT created_utc, run_id, round(max(value) FILTER (WHERE metric = 'click'), 6) AS click, round(max(value) FILTER (WHERE metric = 'view'), 6) AS view FROM s WHERE metric IN ('click', 'view') GROUP BY ALL")
 def timeline_pivot(spark, d):
     e = table(spark, d, "events")
-    s = e.groupBy((F.col("user_id") % 4).cast("string").alias("run_id"), F.col("event_type").alias("metric"), F.date_format("ts", "yyyy-MM").alias("created_utc")).agg(F.avg("value").alias("value"))
-    p = s.filter(F.col("metric").isin("click", "view")).groupBy("created_utc", "run_id").pivot("metric", ["click", "view"]).max("value")
-    return p.select("created_utc", "run_id", F.round("click", 6).alias("click"), F.round("view", 6).alias("view"))
+    month = F.date_format("ts", "yyyy-MM")
+    s = e.groupBy((F.col("user_id") % 4).cast("string").alias("run"), F.col("event_type").alias("metric"), month.alias("created_utc")).agg(F.avg("value").alias("value")).withColumn("run_id", F.concat_ws("@", "created_utc", "run"))
+    p = evals.timeline(s.select("run_id", "metric", "value"), s.select("run_id", "created_utc").distinct(), ["click", "view"])
+    run = F.nullif(F.substring_index("run_id", "@", -1), F.col("created_utc"))
+    return p.select("created_utc", run.alias("run_id"), F.round("click", 6).alias("click"), F.round("view", 6).alias("view"))
 
 
 def _dumps(spark, d):
@@ -518,15 +536,6 @@ def elo_two_player(spark, d):
     return p.select("a", "b", F.round(ra, 4).alias("rating_a"), F.round(rb, 4).alias("rating_b"))
 
 
-@query()
-def elo_fold(spark, d):
-    g = _games(spark, d).withColumn("scope", F.substring_index("sample_key", "|", 1))
-    order = F.struct("sample_key", "winner_label", "loser_label")
-    games = g.select("scope", order.alias("ord"), "winner_label", "loser_label")
-    labels = g.select("scope", F.explode(F.array("winner_label", "loser_label")).alias("label")).distinct().withColumn("rating", F.lit(1500.0))
-    return elo.fold(games, labels).withColumn("rating", F.round("rating", 4))
-
-
 @query("""WITH r AS (SELECT user_id, event_type, least(event_type, 'm') AS p, greatest(event_type, 'm') AS q, event_id, row_number() OVER (PARTITION BY user_id, least(event_type, 'm'), greatest(event_type, 'm') ORDER BY ts DESC, event_id) AS rk FROM events WHERE user_id IS NOT NULL)
 SELECT CAST(user_id AS VARCHAR) AS sample_key, event_type AS winner_label, event_id AS line FROM r WHERE rk = 1""")
 def newest_wins(spark, d):
@@ -561,10 +570,10 @@ def _probe(spark, d):
     return table(spark, d, "lineitem").select(F.col("l_returnflag").alias("module"), F.col("l_linenumber").cast("int").alias("layer"), F.col("l_extendedprice").alias("grad_norm"))
 
 
-@query(f"""WITH {_PROBE} SELECT level, module, layer, round(s, 2) AS sum, round(mx, 4) AS max, n AS count FROM (SELECT 'module' AS level, module, NULL AS layer, sum(grad_norm) AS s, max(grad_norm) AS mx, count(*) AS n FROM g GROUP BY module
+@query(f"""WITH {_PROBE} SELECT level, module, layer, round(s, 2) AS sum, round(s / n, 4) AS mean, round(mx, 4) AS max, n AS count FROM (SELECT 'module' AS level, module, NULL AS layer, sum(grad_norm) AS s, max(grad_norm) AS mx, count(*) AS n FROM g GROUP BY module
 UNION ALL SELECT 'layer', NULL, layer, sum(grad_norm), max(grad_norm), count(*) FROM g GROUP BY layer UNION ALL SELECT 'layer_module', module, layer, sum(grad_norm), max(grad_norm), count(*) FROM g GROUP BY module, layer)""")
 def grad_grouping_sets(spark, d):
-    return probe.gradient_sums(_probe(spark, d)).select("level", "module", "layer", F.round("sum", 2).alias("sum"), F.round("max", 4).alias("max"), "count")
+    return probe.gradient_sums(_probe(spark, d)).select("level", "module", "layer", F.round("sum", 2).alias("sum"), F.round("mean", 4).alias("mean"), F.round("max", 4).alias("max"), "count")
 
 
 @query("WITH x AS (SELECT o_orderpriority AS k, o_totalprice AS x, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice) AS i FROM orders) SELECT k, count(*) AS n, round(2 * sum(i * x) / (count(*) * sum(x)) - (count(*) + 1)::DOUBLE / count(*)::DOUBLE, 6) AS gini FROM x GROUP BY ALL")
@@ -597,17 +606,22 @@ def mask_chars(spark, d):
     return x.filter("supervised > 0")
 
 
-@query("SELECT doc_id % 4 AS persona_id, round(avg(quality), 6) AS quality, round(avg(toxic), 6) AS toxic, count(*) AS n_rated, 0::BIGINT AS n_errors FROM labels GROUP BY 1 UNION ALL SELECT NULL, round(avg(quality), 6), round(avg(toxic), 6), count(*), 0 FROM labels")
+@query("SELECT doc_id % 4 AS persona_id, false AS is_total, round(avg(quality), 6) AS quality, round(avg(toxic), 6) AS toxic, count(*) AS n_rated, 0::BIGINT AS n_errors FROM labels GROUP BY 1 UNION ALL SELECT NULL, true, round(avg(quality), 6), round(avg(toxic), 6), count(*), 0 FROM labels")
 def judge_averages(spark, d):
     j = evals.judge_averages(table(spark, d, "labels").select((F.col("doc_id") % 4).alias("persona_id"), "quality", "toxic"), ("quality", "toxic"))
-    return j.select("persona_id", F.round("quality", 6).alias("quality"), F.round("toxic", 6).alias("toxic"), "n_rated", "n_errors")
+    return j.select("persona_id", "is_total", F.round("quality", 6).alias("quality"), F.round("toxic", 6).alias("toxic"), "n_rated", "n_errors")
+
+
+def _sweep_sql(gap_min: int) -> str:
+    part = turn_sql(1800, gap_min * 60, "km")
+    return f"""(WITH {MESSAGES}, km AS (SELECT * FROM (SELECT *, {_FILTER} AS drop_reason FROM m) WHERE drop_reason IS NULL), {part}, z AS (SELECT folder, session_no, count(*) AS nt, count(DISTINCT author_id) AS na FROM t GROUP BY ALL),
+p AS (SELECT unnest([2, 3, 4]) AS min_turns), q AS (SELECT unnest([1, 2]) AS min_authors)
+SELECT {gap_min} AS gap_min, min_turns, min_authors, (SELECT count(*) FROM m) AS messages_in, (SELECT count(*) FROM t) AS turns_built, count(*) AS sessions_built, count(*) FILTER (WHERE nt < min_turns) AS dropped_short_session,
+count(*) FILTER (WHERE nt >= min_turns AND na < min_authors) AS dropped_single_author, count(*) FILTER (WHERE nt >= min_turns AND na >= min_authors) AS sessions_kept FROM z, p, q GROUP BY ALL)"""
 
 
-@query(f"""WITH {MESSAGES}, {turn_sql(1800, 3600)}, z AS (SELECT folder, session_no, count(*) AS nt, count(DISTINCT author_id) AS na FROM t GROUP BY ALL), p AS (SELECT unnest([2, 3, 4]) AS min_turns), q AS (SELECT unnest([1, 2]) AS min_authors)
-SELECT min_turns, min_authors, count(*) AS sessions_built, count(*) FILTER (WHERE nt >= min_turns AND na >= min_authors) AS sessions_kept FROM z, p, q GROUP BY ALL""")
+@query(f"SELECT * FROM {_sweep_sql(60)} UNION ALL SELECT * FROM {_sweep_sql(90)}")
 def sweep_grid(spark, d):
-    s = sessionize.session_summary(sessionize.burst_merge(event_messages(spark, d).withColumn("text", F.col("content")), 1800, 60))
-    points = F.array(*[F.struct(F.lit(a).alias("min_turns"), F.lit(b).alias("min_authors")) for a in (2, 3, 4) for b in (1, 2)])
-    x = s.withColumn("p", F.explode(points)).select("n_turns", "n_authors", "p.*")
-    kept = (F.col("n_turns") >= F.col("min_turns")) & (F.col("n_authors") >= F.col("min_authors"))
-    return x.groupBy("min_turns", "min_authors").agg(F.count("*").alias("sessions_built"), F.count_if(kept).alias("sessions_kept"))
+    o = curate.Options(1800, 60, monologue_max_share=1.0, near_dedup_threshold=None, dedupe_exact_turns=False)
+    s = curate.sweep(event_messages(spark, d), o, session_gap_min=[60, 90], min_turns=[2, 3, 4], min_authors=[1, 2])
+    return s.select(F.col("params.session_gap_min").cast("int").alias("gap_min"), "params.min_turns", "params.min_authors", "messages_in", "turns_built", "sessions_built", "dropped_short_session", "dropped_single_author", "sessions_kept")
