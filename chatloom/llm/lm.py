@@ -10,19 +10,25 @@ The model is as large as the corpus, so no task or driver ever holds it:
 
 1. Texts are packed into *blocks* of some megabytes, written once.
 2. A block sends the sorted hashes of its distinct n-grams, with its counts, in
-   one binary row to each *slice* of the hash range. The number of slices
-   follows the measured number of tokens, so a slice stays the same size.
-3. A slice adds up the counts and answers each block with an array of totals in
-   the order of the block's own hashes; hashes don't travel back.
-4. Blocks meet their answers and score their texts.
-
-A frequent n-gram is one entry per block, whatever its frequency, so no slice
-is hot.  Training of the weights needs a histogram of a fixed size.
+   one binary row to each of ``2 ** BITS`` *cells* of the hash range. So rows grow
+   in proportion to the blocks, whatever the corpus.
+3. As long as a cell has more n-grams than a task may hold, as many blocks as
+   there are cells are merged to one *group*, which sends its distinct n-grams on
+   to the cells within its cell. Each such level multiplies the cells by
+   ``2 ** BITS``, and a group's share of a cell is never larger than a block.
+4. A last cell adds up the counts and answers each block (or group) with an array
+   of totals in the order of its own hashes; hashes don't travel back. Groups
+   answer theirs in the same way.
+5. The orders are counted one after another. Blocks meet their answers and score their texts.
+
+A frequent n-gram is one entry per block, whatever its frequency, so no cell
+is hot.  Training of the weights needs a histogram of a bounded size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +36,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import grid
-from .common import free_shuffles, remainder, text_or_empty, with_columns_of, written
+from .common import discard, free_shuffles, in_batches, remainder, text_or_empty, with_columns_of, written
 
-BLOCK_BYTES = 4 << 20
-#: Distinct n-grams of all blocks that a slice answers, about.
-SLICE_KEYS = 1_500_000
+BLOCK_BYTES = 8 << 20
+#: A row of a block has its n-grams whose hashes have the same first BITS bits. A last cell has so many n-grams of one order at most, about; a task of the
+#: last level has about as many.
+BITS, CELL_KEYS = 8, 1_500_000
 #: Kinds of texts: counted; held out for the weights, counted in the end; only scored.
 COUNTED, TUNING, OTHER = 0, 1, 2
-BUCKETS = 40
+#: Buckets by the frequency of a context, of each order of context.
+WIDTH = 24
 _END, _BEGIN = np.uint64(0x51C64E9B7F3A2D15), np.uint64(0xA3D95B1E07C8F462)
 _ORDER = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
@@ -88,13 +96,16 @@ def contexts(grams: list[np.ndarray], begin: np.ndarray) -> list[np.ndarray]:
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """Byte planes, so that the high bytes of small numbers compress away."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.dtype.itemsize).T).tobytes()
+    """As many byte planes as the largest number needs, and before them their number."""
+    planes = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([planes]) + np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :planes].T).tobytes()
 
 
-def _unpack(b: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).view(kind).ravel()
+def _unpack(b: bytes) -> np.ndarray:
+    planes = b[0]
+    out = np.zeros(((len(b) - 1) // planes, 8), np.uint8)
+    out[:, :planes] = np.frombuffer(b, np.uint8, offset=1).reshape(planes, -1).T
+    return out.view("<u8").ravel()
 
 
 def _kind(tune: int):
@@ -102,7 +113,7 @@ def _kind(tune: int):
     return F.when(r.isNull() | (r == 2), F.lit(OTHER)).when(r == tune, F.lit(TUNING)).otherwise(F.lit(COUNTED))
 
 
-def blocks(docs: DataFrame) -> DataFrame:
+def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Rows (block, kind, ids, texts, tokens) from rows (doc_id, kind, text)."""
     schema = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("ids", pa.list_(pa.int64())), ("texts", pa.list_(pa.string())), ("tokens", pa.int64())])
 
@@ -124,89 +135,155 @@ def blocks(docs: DataFrame) -> DataFrame:
             number += 1
             return out
 
-        for part, _, offs in grid.pieces(batches, "text", BLOCK_BYTES // 8):
+        for part, _, offs in grid.pieces(batches, "text", block_bytes // 8):
             kinds, size = part.column("kind").to_numpy(), np.diff(offs)
             for kind in np.unique(kinds):
                 own = held.setdefault(int(kind), [[], 0])
                 own[0].append(part.filter(pa.array(kinds == kind)))
                 own[1] += int(size[kinds == kind].sum()) + 64 * int((kinds == kind).sum())
-                if own[1] >= BLOCK_BYTES:
+                if own[1] >= block_bytes:
                     yield flush(int(kind))
         for kind in sorted(held):
             yield flush(kind)
 
-    return docs.select("doc_id", "kind", "text").mapInArrow(run, "block long, kind int, ids array<long>, texts array<string>, tokens long")
+    return in_batches(docs.select("doc_id", "kind", "text"), run, "block long, kind int, ids array<long>, texts array<string>, tokens long")
 
 
-def _edges(slices: int) -> np.ndarray:
-    return np.array([(i << 64) // slices for i in range(slices)], dtype=np.uint64)
+#: What the owner of n-grams (a block or group) sends to a cell of a level: sorted hashes as differences, counts of the kinds that are counted (empty for none).
+ASK = "gram int, cell long, owner long, keys binary, kept binary, tuned binary"
+#: What it gets back: totals with the tuning texts and, if it has some, without.
+ANSWER = "gram int, cell long, owner long, kept binary, total binary, distinct long, tokens long"
+_ASK = pa.schema([("gram", pa.int32()), ("cell", pa.int64()), ("owner", pa.int64()), ("keys", pa.binary()), ("kept", pa.binary()), ("tuned", pa.binary())])
+_ANSWER = pa.schema([("gram", pa.int32()), ("cell", pa.int64()), ("owner", pa.int64()), ("kept", pa.binary()), ("total", pa.binary()), ("distinct", pa.int64()), ("tokens", pa.int64())])
 
 
-def _requests(rows: DataFrame, order: int, slices: int) -> DataFrame:
-    """Rows (gram, slice, block, kind, keys, counts): what blocks ask, and what they add."""
-    schema = pa.schema([("gram", pa.int32()), ("slice", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+def _asks(bits: int, gram: int, cell: int, level: int, owner: int, keys: np.ndarray, kept: np.ndarray | None, tuned: np.ndarray | None) -> pa.RecordBatch:
+    """Rows that send sorted hashes of a cell (0 of level 0 is all) to the cells of the next level within it."""
+    inner = np.array([(cell << bits) + i << (64 - bits * (level + 1)) for i in range(1 << bits)], np.uint64)
+    cut = np.append(np.searchsorted(keys, inner), len(keys))
+    some = np.flatnonzero(cut[1:] > cut[:-1])
+    part = lambda x: pa.array([_pack(x[cut[i] : cut[i + 1]]) if x is not None else b"" for i in some], pa.binary())
+    deltas = [_pack(np.diff(keys[cut[i] : cut[i + 1]], prepend=inner[i : i + 1])) for i in some]
+    return pa.RecordBatch.from_arrays([pa.array([gram] * len(some), pa.int32()), pa.array((cell << bits) + some, pa.int64()), pa.array([owner] * len(some), pa.int64()), pa.array(deltas, pa.binary()), part(kept), part(tuned)], schema=_ASK)
+
+
+def _requests(rows: DataFrame, gram: int, bits: int) -> DataFrame:
+    """What blocks ask and add of the n-grams of one order, to the cells of the first level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = _edges(slices)
         for batch in batches:
             for i in range(batch.num_rows):
                 seq, _, begin = sequence(*_flat(batch.column("texts")[i].values))
                 block, kind = batch.column("block")[i].as_py(), batch.column("kind")[i].as_py()
-                for k, g in enumerate(ngrams(seq, begin, order)):
-                    keys, n = np.unique(g, return_counts=True)
-                    cut = np.append(np.searchsorted(keys, edges), len(keys))
-                    some = [s for s in range(slices) if cut[s + 1] > cut[s]]
-                    delta = [_pack(np.diff(keys[cut[s] : cut[s + 1]], prepend=edges[s])) for s in some]
-                    adds = [_pack(n[cut[s] : cut[s + 1]].astype(np.uint32)) if kind != OTHER else b"" for s in some]
-                    size = len(some)
-                    yield pa.RecordBatch.from_arrays([pa.array([k + 1] * size, pa.int32()), pa.array(some, pa.int32()), pa.array([block] * size), pa.array([kind] * size, pa.int32()), pa.array(delta, pa.binary()), pa.array(adds, pa.binary())], schema=schema)
-
-    return rows.select("block", "kind", "texts").mapInArrow(run, "gram int, slice int, block long, kind int, keys binary, counts binary")
-
-
-ANSWER = "gram int, slice int, block long, kept binary, total binary, distinct long, tokens long"
-
-
-def _answers(requests: DataFrame, order: int, slices: int) -> DataFrame:
-    """Rows (gram, slice, block, kept, total); and one a slice without block: distinct n-grams and tokens in training."""
-    schema = pa.schema([("gram", pa.int32()), ("slice", pa.int32()), ("block", pa.int64()), ("kept", pa.binary()), ("total", pa.binary()), ("distinct", pa.int64()), ("tokens", pa.int64())])
-
-    def answer(gram: int, at: int, rows: list) -> Iterator[pa.RecordBatch]:
-        edge = _edges(slices)[at]
-        keys = [np.cumsum(_unpack(k, np.uint64), dtype=np.uint64) + edge for _, _, k, _ in rows]
-        own, where = np.unique(np.concatenate(keys), return_inverse=True)
-        sums, lo = np.zeros((2, len(own)), np.int64), 0
-        for (_, kind, _, n), x in zip(rows, keys, strict=True):
-            if kind != OTHER:
-                np.add.at(sums[0 if kind == COUNTED else 1], where[lo : lo + len(x)], _unpack(n, np.uint32))
-            lo += len(x)
-        total, lo = sums.sum(axis=0), 0
-        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((gram, pa.int32()), (at, pa.int32()), (None, pa.int64()), (None, pa.binary()), (None, pa.binary()), (int((total > 0).sum()), pa.int64()), (int(total.sum()), pa.int64()))], schema=schema)
-        for (block, kind, _, _), x in zip(rows, keys, strict=True):
-            i = where[lo : lo + len(x)]
-            lo += len(x)
-            kept = _pack(np.minimum(sums[0, i], 2**32 - 1).astype(np.uint32)) if kind == TUNING else None
-            yield pa.RecordBatch.from_arrays([pa.array([gram], pa.int32()), pa.array([at], pa.int32()), pa.array([block]), pa.array([kept], pa.binary()), pa.array([_pack(np.minimum(total[i], 2**32 - 1).astype(np.uint32))], pa.binary()), pa.array([None], pa.int64()), pa.array([None], pa.int64())], schema=schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = None, []
-        for batch in batches:
-            for gram, at, block, kind, keys, n in zip(*(batch.column(c).to_pylist() for c in ("gram", "slice", "block", "kind", "keys", "counts")), strict=True):
-                if (gram, at) != now:
-                    if rows:
-                        yield from answer(*now, rows)
-                    now, rows = (gram, at), []
-                rows.append((block, kind, keys, n))
-        if rows:
-            yield from answer(*now, rows)
-
-    dealt = requests.repartition(max(1, slices * order), "gram", "slice").sortWithinPartitions("gram", "slice")
-    return dealt.mapInArrow(run, ANSWER)
+                keys, n = np.unique(ngrams(seq, begin, gram)[-1], return_counts=True)
+                yield _asks(bits, gram, 0, 0, block, keys, n if kind == COUNTED else None, n if kind == TUNING else None)
+
+    return in_batches(rows.select("block", "kind", "texts"), run, ASK)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...], names: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows of neighbours with the same key."""
+    now, rows = None, []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in (*key, *names)), strict=True):
+            if row[: len(key)] != now:
+                if rows:
+                    yield now, rows
+                now, rows = row[: len(key)], []
+            rows.append(row[len(key) :])
+    if rows:
+        yield now, rows
+
+
+class _Merged:
+    """Distinct hashes of the rows (owner, keys, kept, tuned) of a cell, with their counts."""
+
+    def __init__(self, bits: int, cell: int, level: int, rows: list[tuple]):
+        edge = np.array([cell << (64 - bits * level)], np.uint64)
+        each = [np.cumsum(_unpack(k), dtype=np.uint64) + edge for _, k, _, _ in rows]
+        self.ends = np.cumsum([len(x) for x in each])
+        self.keys, self.where = np.unique(np.concatenate(each), return_inverse=True)
+        self.sums = np.zeros((2, len(self.keys)), np.int64)
+        for i, row in enumerate(rows):
+            for sums, n in zip(self.sums, row[2:], strict=True):
+                if n:
+                    sums[self.own(i)] += _unpack(n).view(np.int64)
+
+    def own(self, i: int) -> np.ndarray:
+        """Where the hashes of a row stand; no one twice."""
+        return self.where[self.ends[i - 1] if i else 0 : self.ends[i]]
+
+
+def _batched(rows: Iterator[tuple], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows of answers as batches of some megabytes."""
+    held, size = [], 0
+    for gram, cell, owner, kept, total, distinct, tokens in rows:
+        held.append((gram, cell, owner, _pack(kept) if kept is not None else None, _pack(total) if total is not None else None, distinct, tokens))
+        size += 100 + len(held[-1][3] or b"") + len(held[-1][4] or b"")
+        if size > most:
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*held, strict=True), _ANSWER, strict=True)], schema=_ANSWER)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*held, strict=True), _ANSWER, strict=True)], schema=_ANSWER)
+
+
+def _dealt(rows: DataFrame, parts: int, cells: int, *by: str) -> DataFrame:
+    """Rows of a cell (and of equal ``by``) in one partition, in order. The cells, which are alike in size, are dealt out evenly, each order's from another partition on."""
+    cell, shift = F.col("cell"), F.col("gram") * F.lit(parts // 3 + 1) + (F.xxhash64(*by) if by else F.lit(0))
+    at = F.pmod((cell * F.lit(7919) if cells < parts else F.floor(cell * F.lit(parts / cells))) + shift, F.lit(parts))
+    return rows.repartitionById(parts, at.cast("int")).sortWithinPartitions("gram", "cell", *by)
+
+
+def _answers(requests: DataFrame, bits: int, level: int, last: int, parts: int, blocks: int, spent: list[DataFrame]) -> DataFrame:
+    """Answers to the requests of a level. At the last level a cell is whole; before it, groups ask for their owners.
+    ``spent`` gets the tables that aren't needed once the answers are written."""
+    if level == last:
+
+        def answers(gram: int, cell: int, rows: list[tuple]) -> Iterator[tuple]:
+            m = _Merged(bits, cell, level, rows)
+            total = m.sums.sum(axis=0)
+            yield gram, cell, None, None, None, int((total > 0).sum()), int(total.sum())
+            for i, row in enumerate(rows):
+                yield gram, cell, row[0], m.sums[0, m.own(i)] if row[3] else None, total[m.own(i)], None, None
+
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from _batched(x for key, rows in _runs(batches, ("gram", "cell"), ("owner", "keys", "kept", "tuned")) for x in answers(*key, rows))
+
+        return in_batches(_dealt(requests, parts, 1 << bits * level), whole, ANSWER)
+
+    requests = written(requests, f"lm-requests-{level}", compression="zstd")
+    grouped = requests.withColumn("group", F.pmod(F.xxhash64("owner"), F.lit(max(1, blocks >> bits * level))))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (gram, cell, group), rows in _runs(batches, ("gram", "cell", "group"), ("owner", "keys", "kept", "tuned")):
+            m = _Merged(bits, cell, level, rows)
+            yield _asks(bits, gram, cell, level, group, m.keys, m.sums[0], m.sums[1] if any(r[3] for r in rows) else None)
+
+    asked = in_batches(_dealt(grouped, parts, 1 << bits * level, "group"), merge, ASK)
+    above = written(_answers(asked, bits, level + 1, last, parts, blocks, spent), f"lm-answers-{level + 1}", compression="zstd")
+    spent += [requests, above]
+    own = grouped.select("gram", "cell", "group", F.lit(0).alias("from"), F.lit(0).cast("long").alias("inner"), "owner", "keys", "kept", "tuned")
+    null = lambda t, c: F.lit(None).cast(t).alias(c)
+    back = above.filter("owner is not null").select("gram", F.shiftright("cell", bits).alias("cell"), F.col("owner").alias("group"), F.lit(1).alias("from"), F.col("cell").alias("inner"), null("long", "owner"), F.col("total").alias("keys"), "kept", null("binary", "tuned"))
+
+    def answers_down(gram: int, cell: int, rows: list[tuple]) -> Iterator[tuple]:
+        asked, got = [r[2:] for r in rows if not r[0]], sorted((r for r in rows if r[0]), key=lambda r: r[1])
+        m = _Merged(bits, cell, level, asked)
+        total = np.concatenate([_unpack(r[3]) for r in got])
+        kept = np.concatenate([_unpack(r[4]) for r in got]) if got[0][4] is not None else None
+        for i, row in enumerate(asked):
+            yield gram, cell, row[0], kept[m.own(i)] if row[3] else None, total[m.own(i)], None, None
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batched(x for (gram, cell, _), rows in _runs(batches, ("gram", "cell", "group"), ("from", "inner", "owner", "keys", "kept", "tuned")) for x in answers_down(gram, cell, rows))
+
+    out = in_batches(_dealt(own.union(back), parts, 1 << bits * level, "group"), down, ANSWER)
+    return out.unionByName(above.filter("owner is null"))
 
 
 def _met(rows: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
     """Blocks with their answers, dealt by block."""
-    a = answers.filter("block is not null").repartition(parts, "block").groupBy("block").agg(F.collect_list(F.struct("gram", "slice", "kept", "total")).alias("answers"))
+    a = answers.filter("owner is not null").repartition(parts, "owner").groupBy(F.col("owner").alias("block")).agg(F.collect_list(F.struct("gram", "cell", "kept", "total")).alias("answers"))
     return rows.repartition(parts, "block").join(a, "block")
 
 
@@ -219,7 +296,7 @@ class _Counts:
         self.n, unique, counts = [], [], []
         for k, g in enumerate(grams):
             u, inverse = np.unique(g, return_inverse=True)
-            c = np.concatenate([_unpack(a[which], np.uint32) for a in sorted((a for a in answers if a["gram"] == k + 1), key=lambda a: a["slice"])]).astype(np.float64)
+            c = np.concatenate([_unpack(a[which]) for a in sorted((a for a in answers if a["gram"] == k + 1), key=lambda a: a["cell"])]).astype(np.float64)
             unique.append(u)
             counts.append(c)
             self.n.append(c[inverse])
@@ -234,53 +311,76 @@ class _Counts:
             self.context.append(value)
 
     def estimates(self, total: float) -> list[np.ndarray]:
-        """Maximum-likelihood estimates, lowest order first."""
+        """Maximum-likelihood estimates, lowest order first; 0 after an unknown context."""
         out = [self.n[0] / max(total, 1)]
         for n, c in zip(self.n[1:], self.context, strict=True):
             out.append(np.where(c > 0, np.minimum(n / np.maximum(c, 1), 1.0), 0.0))
         return out
 
     def bucket(self) -> np.ndarray:
-        """0 for an unknown context, else by the power of two of its frequency."""
-        c = self.context[-1] if self.context else np.full(len(self.seq), 1.0)
-        return np.where(c > 0, 1 + np.minimum(np.log2(np.maximum(c, 1)).astype(int), BUCKETS - 2), 0)
+        """0 if no context is known, else by the longest known one: its order, and the power of two of its frequency."""
+        out = np.zeros(len(self.seq), np.int64)
+        for k, c in enumerate(self.context):
+            out = np.where(c > 0, 1 + k * WIDTH + np.minimum(np.log2(np.maximum(c, 1)).astype(np.int64), WIDTH - 1), out)
+        return out
+
+
+#: Estimates are counted by their logarithm to base 2, in LEVELS steps of so much for words alone and for longer n-grams.
+LEVELS, STEPS = 32, (0.75, 0.4)
 
 
-STEP = 0.25  # of the logarithm to base 2, of the histogram's estimates
+def _level(f: np.ndarray, k: int) -> np.ndarray:
+    """0 for nothing, else 1 and more."""
+    return np.where(f > 0, 1 + np.clip(np.round(-np.log2(np.maximum(f, 1e-18)) / STEPS[min(k, 1)]), 0, LEVELS - 2), 0).astype(np.int64)
 
 
 def learned(tuning: DataFrame, order: int, kept_tokens: int, words: int, rounds: int = 30) -> np.ndarray:
-    """Weights (bucket, component): uniform, then orders from 1, by expectation-maximisation on a histogram of the tuning texts' tokens."""
-    schema = "bucket int, key long, n long"
+    """Weights (bucket, component): uniform, then orders from 1, by expectation-maximisation on a histogram of the tuning texts' tokens.
+
+    The histogram has LEVELS steps an order, so LEVELS ** order rows a bucket at most (some million for three orders), whatever the corpus.
+    Orders whose context a bucket doesn't know have no weight in it.
+    """
+    cells = LEVELS**order
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 c = _Counts(batch.column("texts")[i].values, batch.column("answers")[i].as_py(), order, "kept")
                 key = np.zeros(len(c.seq), np.int64)
-                for f in c.estimates(kept_tokens):
-                    key = key * 256 + np.where(f > 0, np.clip(np.round(-np.log2(np.maximum(f, 1e-18)) / STEP), 0, 253) + 1, 0).astype(np.int64)
-                both, n = np.unique(np.stack([c.bucket(), key]), axis=1, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int32()), pa.array(both[1]), pa.array(n)], schema=pa.schema([("bucket", pa.int32()), ("key", pa.int64()), ("n", pa.int64())]))
-
-    found = tuning.select("texts", "answers").mapInArrow(run, schema).groupBy("bucket", "key").agg(F.sum("n").alias("n")).toPandas()
-    weights = np.full((BUCKETS, order + 1), 1 / (order + 1))
-    every = np.array([[1 / (words + 1), *(2.0 ** (-STEP * (q - 1)) if q else 0.0 for q in (int(k) >> 8 * (order - 1 - j) & 255 for j in range(order)))] for k in found["key"]]).reshape(-1, order + 1)
-    bucket, n = found["bucket"].to_numpy(int), found["n"].to_numpy(float)
-    # A bucket starts from what all buckets learn together; one without tokens keeps that.
-    for groups in (np.zeros(len(n), int), bucket):
+                for k, f in enumerate(c.estimates(kept_tokens)):
+                    key = key * LEVELS + _level(f, k)
+                both, n = np.unique(c.bucket() * cells + key, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(both), pa.array(n)], schema=pa.schema([("key", pa.int64()), ("n", pa.int64())]))
+
+    found = in_batches(tuning.select("texts", "answers"), run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    buckets = 1 + WIDTH * max(order - 1, 0)
+    key, n = found["key"].to_numpy(np.int64), found["n"].to_numpy(float)
+    bucket = key // cells
+    every = np.full((len(key), order + 1), 1 / (words + 1))
+    for k in range(order):
+        q = key // LEVELS ** (order - 1 - k) % LEVELS
+        every[:, k + 1] = np.where(q > 0, 2.0 ** (-STEPS[min(k, 1)] * (q - 1)), 0.0)
+    # A bucket of a context of k words knows the orders to k + 1.
+    known = np.arange(order + 1) <= 1 + np.where(np.arange(buckets) > 0, 1 + (np.arange(buckets) - 1) // WIDTH, 0)[:, None]
+    weights = known / known.sum(axis=1, keepdims=True)
+    # A bucket starts from what all that know as many orders learn together; one without tokens keeps that.
+    together = known.sum(axis=1)
+    for group in (together, np.arange(buckets)):
         for _ in range(rounds):
-            part = every * weights[groups]
+            part = every * weights[bucket]
             part *= (n / np.maximum(part.sum(axis=1), 1e-300))[:, None]
-            for b in np.unique(groups):
-                s = part[groups == b].sum(axis=0) + 1e-3
-                weights[b] = s / s.sum()
-        if groups is not bucket:
-            weights[:] = weights[0]
+            sums = np.zeros((int(group.max()) + 1, order + 1))
+            np.add.at(sums, group[bucket], part)
+            sums = (sums[group] + 1e-3) * known
+            weights = sums / sums.sum(axis=1, keepdims=True)
+            if group is not together:
+                none = ~np.isin(np.arange(buckets), bucket)
+                weights[none] = start[none]  # noqa: F821
+        start = weights.copy()
     return weights
 
 
-def score(docs: DataFrame, order: int = 2, tune: int = 3) -> DataFrame:
+def score(docs: DataFrame, order: int = 3, tune: int = 3, bits: int = BITS, cell_keys: int = CELL_KEYS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Trained on texts whose crc32(doc_id) mod 7 isn't 2; of these, the ones with
@@ -288,21 +388,30 @@ def score(docs: DataFrame, order: int = 2, tune: int = 3) -> DataFrame:
     whole text and its end. A null text is an empty one; a row with a null
     doc_id is scored but not learned from, and not held out. Repeated rows count
     as often as they are there. An empty table gives no row. Without training
-    texts every token is unknown.
+    texts every token is unknown. Other columns are ignored, whatever their names.
     """
+    spark = docs.sparkSession
     base = with_columns_of(docs, {"doc_id": "long", "text": "string"}).withColumn("text", text_or_empty()).withColumn("kind", _kind(tune))
-    packed = written(blocks(base), "lm-blocks", compression="zstd")
+    packed = written(blocks(base, block_bytes), "lm-blocks", compression="zstd")
     size = packed.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.count("*").alias("blocks")).head()
-    slices = int(size["tokens"]) // SLICE_KEYS + 1
-    parts = int(size["blocks"]) // 4 + 1
-    answers = written(_answers(_requests(packed, order, slices), order, slices), "lm-answers", compression="zstd")
-    free_shuffles(packed.sparkSession)
-    sums = answers.filter("block is null and gram = 1").agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("words"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).head()
+    last = 1
+    while int(size["tokens"]) >> bits * last > cell_keys:
+        last += 1
+    parts, n = int(size["blocks"]) // 2 + 1, int(size["tokens"]) // cell_keys + 1
+    # One order after another, so that the shuffle of one is gone before the next one's is written.
+    each = []
+    for gram in range(1, order + 1):
+        spent: list[DataFrame] = []
+        each.append(written(_answers(_requests(packed, gram, bits), bits, 1, last, n, int(size["blocks"]), spent), f"lm-answers-{gram}", compression="zstd"))
+        discard(*spent)
+        free_shuffles(spark)
+    answers = reduce(DataFrame.unionByName, each)
+    sums = answers.filter("owner is null and gram = 1").agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("words"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).head()
     words, total = int(sums["words"]), int(sums["tokens"])
     kept = int(packed.filter(F.col("kind") == COUNTED).agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).head()["n"])
     tuning = packed.filter(F.col("kind") == TUNING)
-    weights = learned(_met(tuning, answers.join(tuning.select("block"), "block", "left_semi"), max(1, parts // 4)), order, kept, words)
-    free_shuffles(packed.sparkSession)
+    weights = learned(_met(tuning, answers.filter("kept is not null"), max(1, parts // 4)), order, kept, words)
+    free_shuffles(spark)
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,15 +419,15 @@ def score(docs: DataFrame, order: int = 2, tune: int = 3) -> DataFrame:
             for i in range(batch.num_rows):
                 ids = batch.column("ids")[i].values
                 c = _Counts(batch.column("texts")[i].values, batch.column("answers")[i].as_py(), order, "total")
-                w = weights[c.bucket()]
-                p = w[:, 0] / (words + 1)
+                bucket = c.bucket()
+                p = weights[bucket, 0] / (words + 1)
                 for k, f in enumerate(c.estimates(total)):
-                    p = p + w[:, k + 1] * f
+                    p += weights[bucket, k + 1] * f
                 add = lambda x: np.add.reduceat(x, c.begin)  # noqa: B023, E731
                 known = add((c.n[0] > 0).astype(np.int64))
                 simple = add(np.log10((c.n[0] + 1) / (total + 1 * (words + 1))))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.bincount(c.doc, minlength=len(ids))), pa.array(known), pa.array(simple), pa.array(add(np.log10(np.maximum(p, 1e-300))))], schema=schema)
 
-    out = _met(packed.select("block", "ids", "texts"), answers, parts).select("ids", "texts", "answers").mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    out = in_batches(_met(packed.select("block", "ids", "texts"), answers, parts).select("ids", "texts", "answers"), run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     held = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
