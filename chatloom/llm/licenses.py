@@ -128,16 +128,20 @@ def recognise(docs: DataFrame, sentences: dict[str, str] | None = None, rules: l
     plain = F.regexp_replace(F.regexp_replace(marked, "\n", " | "), "[^a-z0-9|!]+", " ")
     whole = F.regexp_extract_all(F.concat(F.lit("| "), F.trim(plain), F.lit(" |")), F.lit(f"(?<=[|!] )(?:{some})(?= [|!]| https? )"), F.lit(0))
     ids = F.transform(whole, lambda s: F.element_at(table, F.regexp_replace(s, " [|!]", "")))
-    found = base.select("doc_id", ids.alias("sentence_ids")).filter(F.size("sentence_ids") > 0)
     tokens = F.create_map(*[F.lit(x) for k, n in number.items() for x in (k, n)])
-    found = found.withColumn("rest", F.array_join(F.transform("sentence_ids", lambda k: F.element_at(tokens, k)), ""))
-    hits = []
-    for i, (name, ids) in enumerate(sorted(rules or RULES, key=lambda r: -len(r[1]))):
-        pattern = "".join(number[k] for k in ids)
-        left = F.replace("rest", F.lit(pattern), F.lit("|"))
-        found = found.withColumn(f"n{i}", ((F.length("rest") - F.length(left)) / (len(pattern) - 1)).cast("long")).withColumn("rest", left)
-        hits.append(F.struct(F.lit(name).alias("license"), F.lit(" ".join(ids)).alias("rule"), F.col(f"n{i}").alias("matches")))
-    return found.select("doc_id", "sentence_ids", F.filter(F.array(*hits), lambda h: h["matches"] > 0).alias("licenses"))
+    known = [(name, " ".join(ids), "".join(number[k] for k in ids)) for name, ids in sorted(rules or RULES, key=lambda r: -len(r[1]))]
+    listed = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(rule).alias("rule"), F.lit(pattern).alias("pattern")) for name, rule, pattern in known])
+    start = lambda found: F.struct(F.array_join(F.transform(found, lambda k: F.element_at(tokens, k)), "").alias("rest"), F.array().cast("array<struct<license:string,rule:string,matches:bigint>>").alias("hits"))
+
+    def use(acc, rule):
+        left = F.replace(acc["rest"], rule["pattern"], F.lit("|"))
+        n = ((F.length(acc["rest"]) - F.length(left)) / (F.length(rule["pattern"]) - 1)).cast("long")
+        hit = F.struct(rule["license"].alias("license"), rule["rule"].alias("rule"), n.alias("matches"))
+        return F.struct(left.alias("rest"), F.when(n > 0, F.concat(acc["hits"], F.array(hit))).otherwise(acc["hits"]).alias("hits"))
+
+    # As elements of an array that is exploded, a text's sentences are found once, whatever refers to them.
+    one = F.transform(F.array(ids), lambda found: F.struct(found.alias("sentence_ids"), F.aggregate(listed, start(found), use)["hits"].alias("licenses")))
+    return base.select("doc_id", F.explode(F.filter(one, lambda x: F.size(x["sentence_ids"]) > 0)).alias("x")).select("doc_id", "x.sentence_ids", "x.licenses")
 
 
 def license_rows(docs: DataFrame, **kw) -> DataFrame:
