@@ -27,9 +27,19 @@ def pairwise_answer(x) -> Column:
     return F.upper(F.coalesce(F.try_element_at(stated, F.lit(-1)), F.try_element_at(bare, F.lit(1)), word, first))
 
 
+def first_object(text) -> Column:
+    """The first JSON object of a text, without fences and what else is around it; null if there is none.
+
+    Texts that are an object are taken as they are; only others go to the scan in Python.
+    """
+    x = strip(F.col(text) if isinstance(text, str) else text)
+    whole = x.startswith("{") & x.endswith("}") & F.from_json(x, "map<string,string>").isNotNull()
+    return F.coalesce(F.when(whole, x), _scan(F.when(~F.coalesce(whole, F.lit(False)), x)))
+
+
 @F.pandas_udf(StringType())
-def first_object(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """The first balanced JSON object of a text, without fences (Arrow batches: a scan that keeps count of braces)."""
+def _scan(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The first object that a JSON decoder reads from a brace on, in Arrow batches."""
     import json
 
     def one(s):

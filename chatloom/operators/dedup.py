@@ -104,6 +104,30 @@ def similar_pairs(texts: DataFrame, threshold: float = 0.85, n: int = 5) -> Data
     return similar_sets(shingle_classes(texts, n)[1], threshold)
 
 
+def lsh_pairs(sets: DataFrame, threshold: float = 0.85, tables: int = 24, buckets: int = 1 << 18) -> DataFrame:
+    """(scope, a, b, common, union, jaccard) as ``similar_sets``, found by minwise hashing and verified on the sets.
+
+    An approximate form: of pairs just at the threshold some may be missing, none is wrong. Hash tables are those of the ML library,
+    over shingles folded to ``buckets``.
+    """
+    from pyspark.ml.feature import MinHashLSH
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
+    def folded(values):
+        at = sorted({int(v) % buckets for v in values})
+        return SparseVector(buckets, at, [1.0] * len(at))
+
+    rows = materialized(sets.select("scope", "id", "s", "size", F.udf(folded, VectorUDT())("s").alias("v")), "lsh-sets")
+    model = MinHashLSH(inputCol="v", outputCol="h", numHashTables=tables, seed=5).fit(rows)
+    near = model.approxSimilarityJoin(rows, rows, 1.0 - threshold + 0.05, "distance")
+    side = lambda x, c: F.col(f"{x}.{c}")
+    pairs = near.filter((side("datasetA", "id") < side("datasetB", "id")) & (side("datasetA", "scope") == side("datasetB", "scope")))
+    full = pairs.select(side("datasetA", "scope").alias("scope"), side("datasetA", "id").alias("a"), side("datasetB", "id").alias("b"), side("datasetA", "s").alias("sa"), side("datasetB", "s").alias("sb"))
+    full = full.withColumn("common", F.size(F.array_intersect("sa", "sb"))).withColumn("union", F.size("sa") + F.size("sb") - F.col("common"))
+    full = full.withColumn("jaccard", F.col("common") / F.col("union")).filter(F.col("jaccard") >= threshold)
+    return full.select("scope", "a", "b", "common", "union", "jaccard").dropDuplicates(["scope", "a", "b"])
+
+
 def _in_order(schema: pa.Schema):
     """Edges (scope, late, early, early_kept), in order of late's rank: decides the late ones. A kept early one drops the late one."""
 
@@ -157,8 +181,8 @@ def greedy_keep(nodes: DataFrame, pairs: DataFrame, last_edges: int = LAST_EDGES
     return nodes.join(state, ["scope", "id"], "left").withColumn("kept", F.coalesce("kept", F.lit(True)))
 
 
-def near_dedup(texts: DataFrame, threshold: float = 0.85, n: int = 5) -> DataFrame:
-    """``kept`` of rows (scope, id, text, priority).
+def near_dedup(texts: DataFrame, threshold: float = 0.85, n: int = 5, pairs_of=similar_sets) -> DataFrame:
+    """``kept`` of rows (scope, id, text, priority). ``pairs_of`` finds the similar sets: ``similar_sets``, or ``lsh_pairs``.
 
     Of a class the first in priority order is compared with other classes; the others go, as they are like the first,
     or like what the first is dropped for. Texts without a word are kept.
@@ -167,7 +191,7 @@ def near_dedup(texts: DataFrame, threshold: float = 0.85, n: int = 5) -> DataFra
     rank = F.struct(-F.col("priority"), F.col("id"))
     m = members.join(texts.select("scope", "id", "priority"), ["scope", "id"])
     firsts = materialized(m.groupBy("scope", "rep").agg(F.min(rank).alias("rank"), F.min_by("id", rank).alias("first"), F.min_by("priority", rank).alias("priority")), "near-firsts")
-    pairs = similar_sets(sets, threshold)
+    pairs = pairs_of(sets, threshold)
     name = lambda c: firsts.select("scope", F.col("rep").alias(c), F.col("first").alias(f"f_{c}"))
     pairs = pairs.select("scope", "a", "b").join(name("a"), ["scope", "a"]).join(name("b"), ["scope", "b"]).select("scope", F.col("f_a").alias("a"), F.col("f_b").alias("b"))
     kept = greedy_keep(firsts.select("scope", F.col("first").alias("id"), "priority"), pairs).filter("kept").select("scope", "id", F.lit(True).alias("stays"))

@@ -136,6 +136,12 @@ def replay(rows: DataFrame, priors: DataFrame | None = None, start: float = 1500
     return replay_groups(one(rows), one(priors), start, k, seed, chronological).drop("scope")
 
 
+def rating_map(x) -> Column:
+    """A map of ratings from a JSON object, without what isn't a finite number."""
+    number = F.transform_values(F.from_json(x, "map<string,string>"), lambda k, v: v.try_cast("double"))
+    return F.map_filter(number, lambda k, v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+
+
 def normalized(rows: DataFrame, column: str, scope: list[str] | None = None) -> Column:
     """Between 0 and 1 by the least and largest; 0.5 if they are equal."""
     w = Window.partitionBy(*(scope or []))
