@@ -15,32 +15,6 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, mode: str = "FAILFAS
     return spark.read.schema(schema).option("mode", mode).json(path)
 
 
-def read_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of JSON lines; the first malformed line of a file is an error that names file and line.
-
-    Lines are checked in one pass; only files that have a bad one are looked at again for its number.
-    """
-    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path")).filter(F.trim("value") != "")
-    bad = text.filter(_malformed("value")).agg(F.min("path").alias("path")).head()["path"]
-    if bad is not None:
-        lines = spark.read.text(bad, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("at", "value"))
-        at = lines.filter((F.trim("value") != "") & _malformed("value")).agg(F.min("at").alias("at")).head()["at"]
-        raise ValueError(f"{bad}:{at + 1}: not a JSON object")
-    return read_jsonl(spark, path, schema)
-
-
-def _malformed(c: str) -> Column:
-    """Whether a line isn't a JSON object."""
-    return F.from_json(F.col(c), "map<string,string>", {"mode": "PERMISSIVE"}).isNull() | ~F.ltrim(c).startswith("{")
-
-
-def head_rows(spark: SparkSession, path: str, schema: str, n: int) -> DataFrame:
-    """The first n good rows, by file and place in it."""
-    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("line"))
-    good = rows.filter((F.trim("value") != "") & ~_malformed("value")).orderBy("path", "line").limit(n)
-    return good.select("path", "line", F.from_json("value", schema).alias("r")).orderBy("path", "line").select("r.*")
-
-
 def tolerant(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the lines (``_corrupt_record``) that are no JSON object or don't fit the schema."""
     lines = spark.read.text(path).filter(F.trim("value") != "")
@@ -77,13 +51,6 @@ def head_rows(spark: SparkSession, path: str, schema: str, n: int) -> DataFrame:
     return good.select("path", "line", F.from_json("value", schema).alias("r")).orderBy("path", "line").select("r.*")
 
 
-def tolerant(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the malformed lines."""
-    both = spark.read.schema(f"{schema}, _corrupt_record STRING").option("mode", "PERMISSIVE").json(path)
-    # Both halves must read the corrupt column with another, or Spark won't parse it.
-    return both.filter("_corrupt_record is null").drop("_corrupt_record"), both.filter("_corrupt_record is not null").select("_corrupt_record")
-
-
 def repaired_ts(x) -> Column:
     """A time of a record; ``2022)12-...`` is read as ``2022-12-...``."""
     fixed = F.regexp_replace(x, r"^(\d{4})\)", "$1-")
