@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import let, split_words
+from ..session import spread
 
 #: Open edges that one task resolves in order, where rounds would each settle little.
 LAST_EDGES = 500_000
@@ -65,7 +66,7 @@ def shingle_classes(texts: DataFrame, n: int = 5) -> tuple[DataFrame, DataFrame]
 
     Texts without a word are in neither.
     """
-    s = materialized(texts.select("scope", "id", shingle_hashes(F.col("text"), n).alias("s")).withColumn("size", F.size("s")).filter("size > 0"), "shingle-sets")
+    s = materialized(spread(texts.select("scope", "id", "text")).select("scope", "id", shingle_hashes(F.col("text"), n).alias("s")).withColumn("size", F.size("s")).filter("size > 0"), "shingle-sets")
     digest = s.select("scope", "id", "size", F.xxhash64("s").alias("d1"), F.xxhash64(F.lit(1), "s").alias("d2"))
     key = ["scope", "size", "d1", "d2"]
     reps = materialized(digest.groupBy(*key).agg(F.min("id").alias("rep")), "shingle-classes")

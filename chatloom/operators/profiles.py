@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import spread
 from .dedup import materialized
 
+#: Wanted n-grams that are looked for as a list within a text; of more, all are looked up by a join.
+MAX_LISTED = 64
+
 #: Fillers without a profile.
 FILLERS = ("lol", "bro", "ngl", "tbh", "fr", "lowkey")
 
@@ -51,7 +55,7 @@ def style_rates(texts: DataFrame) -> DataFrame:
 
 def ngram_counts(texts: DataFrame, n: int) -> DataFrame:
     """(persona_id, token, count) of n-grams of style words, within a text."""
-    return texts.select("persona_id", F.explode(T.grams(T.style_words(F.col("text")), n)).alias("token")).groupBy("persona_id", "token").agg(F.count("*").alias("count"))
+    return spread(texts.select("persona_id", "text")).select("persona_id", F.explode(T.grams(T.style_words(F.col("text")), n)).alias("token")).groupBy("persona_id", "token").agg(F.count("*").alias("count"))
 
 
 def gram_hashes(words, n: int):
@@ -61,13 +65,13 @@ def gram_hashes(words, n: int):
 
 
 def _scored(counts: DataFrame, key: str, alpha: float, min_count: int) -> DataFrame:
-    """``counts`` (persona_id, key, count) of ``min_count`` and more with z; the vocabulary's sums come with the key's rows in one shuffle."""
-    of = counts.groupBy(key).agg(F.sum("count").alias("yg"), F.collect_list(F.when(F.col("count") >= min_count, F.struct("persona_id", "count"))).alias("own"))
+    """``counts`` (persona_id, key, count) of ``min_count`` and more with z. Counts are written once, as four sums are made of them."""
+    counts = materialized(counts, "gram-counts")
+    everyone = materialized(counts.groupBy(key).agg(F.sum("count").alias("yg")), "gram-totals")
     # One row, and a row a persona: they are joined as scalars are.
-    size = of.agg(F.count("*").alias("v"), F.sum("yg").alias("ng"))
+    size = everyone.agg(F.count("*").alias("v"), F.sum("yg").alias("ng"))
     mine = counts.groupBy("persona_id").agg(F.sum("count").alias("np"))
-    c = of.select(key, "yg", F.explode("own").alias("o")).select("o.persona_id", key, F.col("o.count").alias("count"), "yg")
-    c = c.join(mine, "persona_id").join(F.broadcast(size), F.lit(True))
+    c = counts.filter(F.col("count") >= min_count).join(everyone, key).join(mine, "persona_id").join(F.broadcast(size), F.lit(True))
     yp, a0 = F.col("count"), F.lit(alpha) * F.col("v")
     yn, nn = F.greatest(F.col("yg") - yp, F.lit(0)), F.col("ng") - F.col("np")
     num = F.try_divide(yp + alpha, F.col("np") + a0 - yp - alpha)
@@ -92,12 +96,18 @@ def log_odds(counts: DataFrame, alpha: float = 0.01, top_k: int = 25, min_count:
 
 def characteristic(texts: DataFrame, n: int, alpha: float = 0.01, top_k: int = 25, min_count: int = 3) -> DataFrame:
     """``log_odds`` of the n-grams of texts (persona_id, text), counted by 64-bit hashes; only the grams that come first, ties included, are read as text."""
-    words = texts.select("persona_id", T.style_words(F.col("text")).alias("w"))
+    words = spread(texts.select("persona_id", "text")).select("persona_id", T.style_words(F.col("text")).alias("w"))
     counts = words.select("persona_id", F.explode(gram_hashes(F.col("w"), n)).alias("h")).groupBy("persona_id", "h").agg(F.count("*").alias("count"))
     scored = _scored(counts, "h", alpha, min_count)
     first = materialized(scored.withColumn("r", F.rank().over(Window.partitionBy("persona_id").orderBy(F.col("z").desc()))).filter(F.col("r") <= top_k).drop("r"), "log-odds")
-    pairs = words.select(F.explode(F.arrays_zip(gram_hashes(F.col("w"), n).alias("h"), T.grams(F.col("w"), n).alias("t"))).alias("g"))
-    names = pairs.select(F.col("g.h").alias("h"), F.col("g.t").alias("token")).join(first.select("h").distinct(), "h", "left_semi").dropDuplicates(["h"])
+    wanted = first.select("h").distinct()
+    grams = F.arrays_zip(gram_hashes(F.col("w"), n).alias("h"), (T.grams(F.col("w"), n) if n > 1 else F.col("w")).alias("token"))
+    hashes = [r["h"] for r in wanted.limit(MAX_LISTED + 1).collect()] if n > 1 else []
+    if 0 < len(hashes) <= MAX_LISTED:
+        # Few are wanted, so they are looked for within a text, and no other gram is put together.
+        keep = F.array(*[F.lit(h).cast("long") for h in hashes])
+        grams = T.let(gram_hashes(F.col("w"), n), lambda h: F.filter(F.transform(h, lambda x, i: F.when(F.array_contains(keep, x), F.struct(x.alias("h"), F.array_join(F.slice("w", i + 1, n), " ").alias("token")))), lambda g: g.isNotNull()))
+    names = words.select(F.explode(grams).alias("g")).select("g.h", "g.token").join(wanted, "h", "left_semi").dropDuplicates(["h"])
     return _best(first.join(names, "h"), top_k)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build(master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -15,3 +15,13 @@ def build(master: str | None = None, shuffle_partitions: int | None = None, **co
     for k, v in conf.items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The frame, dealt out anew if it has fewer partitions than the cluster has cores.
+
+    For steps that compute much from few rows, such as the shingles of a table of one file; a large table
+    has partitions enough and isn't moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

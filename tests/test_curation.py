@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chatloom import schemas
 from chatloom.functions import text as T
 from chatloom.operators import dedup
-from chatloom.plans.curate import Options, curate
+from chatloom.plans.curate import Options, curate, sweep
 from chatloom.sources import exports, records
 
 T0 = datetime(2025, 7, 2, 12, tzinfo=timezone.utc)
@@ -97,6 +97,35 @@ def test_exact_turns(spark):
         curate(messages(spark, rows), Options(exact_turn_dup_cap=0))
 
 
+def test_language_hook(spark):
+    rows = [(0, "A", "the tea"), (40, "B", "the cup"), (9000, "A", "le thé"), (9040, "B", "la tasse"), (18000, "A", "1"), (18040, "B", "2")]
+    told = lambda x: F.when(x.contains("the "), "en").when(x.contains("th\u00e9"), "fr")
+    r = curate(messages(spark, rows), Options(lang="en", near_dedup_threshold=None), told).report.head()
+    assert (r["sessions_built"], r["dropped_lang"], r["sessions_kept"]) == (3, 1, 2)
+    assert curate(messages(spark, rows), Options(lang="en", near_dedup_threshold=None)).report.head()["dropped_lang"] == 0
+    points = sweep(messages(spark, rows), Options(lang="en"), language=told, min_turns=[2, 3]).collect()
+    assert [(p["dropped_lang"], p["dropped_short_session"], p["sessions_kept"]) for p in points] == [(1, 0, 2), (0, 3, 0)]
+
+
+def test_sweep_is_curate_at_every_point(spark):
+    """The counters of each point of a grid are those of a run of its own, near-duplicates and exact repeats included."""
+    g, rows, at = random.Random(6), [], 0
+    talk = [[(who, " ".join(g.choice("tea cup lake hill road bird snow moon".split()) for _ in range(9))) for who in "ABAB"] for _ in range(4)]
+    for k in range(14):
+        for who, text in talk[k % 4] if k % 3 else [("A", "hm"), ("A", "hm"), ("B", f"note {k}")]:
+            rows.append((at, who, text if g.random() > 0.05 else text + " indeed"))
+            at += g.choice((20, 50, 400))
+        at += 4000
+    m = messages(spark, rows)
+    lists = {"min_turns": [2, 4], "merge_gap_sec": [30, 60], "session_gap_min": [5, 60], "monologue_max_share": [0.6, 1.0]}
+    names = ("messages_in", "turns_built", "dropped_exact_turn_dup", "sessions_built", "dropped_short_session", "dropped_single_author", "dropped_monologue", "dropped_near_dup", "sessions_kept")
+    for p in sweep(m, Options(near_dedup_threshold=0.7), **lists).collect():
+        o = Options(near_dedup_threshold=0.7, **{k: p["params"][k] for k in lists})
+        if p["params"]["session_gap_min"] == 60 or p["params"]["min_turns"] == 4:
+            want = curate(m, o).report.head()
+            assert [p[n] for n in names] == [want[n] for n in names], o
+
+
 def test_text_functions(spark):
     x = spark.createDataFrame([("write ida@lake.net or 212-680-1479 <@1> <@!2> <#9> <a:owl:12>  end\n\n\n\nnow",)], "x string")
     got = x.select(T.normalize(F.col("x"), F.create_map(F.lit("1"), F.lit("Ann")))).head()[0]
