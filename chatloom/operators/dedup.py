@@ -9,7 +9,9 @@ those once copies are out.  Shingles are compared by 64-bit hashes.
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import uuid
 from collections.abc import Iterator
 
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from ..functions.text import let, split_words
 from ..session import spread
 
+#: Tables that are still there.
+_LEFT: set[str] = set()
 #: Open edges that one task resolves in order, where rounds would each settle little.
 LAST_EDGES = 500_000
 
@@ -37,15 +41,27 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._materialized = path
+    _LEFT.add(path)
     return out
 
 
+def _clean() -> None:
+    """What is left at the end of the driver's process goes, where the folder is one that it reaches itself."""
+    for path in _LEFT:
+        if path.startswith(("/", "file:")):
+            shutil.rmtree("/" + re.sub(r"^file:/*", "", path).lstrip("/"), ignore_errors=True)
+
+
+atexit.register(_clean)
+
+
 def released(*frames: DataFrame) -> None:
     """Delete what ``materialized`` wrote, once nothing reads it any more."""
     for df in frames:
         path = getattr(df, "_materialized", None)
         if path:
             spark = df.sparkSession
+            _LEFT.discard(path)
             p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -81,11 +97,12 @@ def similar_sets(s: DataFrame, threshold: float = 0.85) -> DataFrame:
     s = materialized(s, "similar-sets")
     rows = s.select("scope", "id", "size", F.explode("s").alias("x"))
     rarity = rows.groupBy("scope", "x").count().filter("count > 1")
-    order = Window.partitionBy("scope", "id").orderBy("count", "x")
-    # A shingle of one set alone can be no candidate's, but takes a place of the prefix.
-    ranked = rows.join(rarity, ["scope", "x"], "left").withColumn("count", F.coalesce("count", F.lit(1))).withColumn("r", F.row_number().over(order))
+    own = Window.partitionBy("scope", "id")
+    # Shingles of one set alone come first and can be no candidate's, so only shared ones are ranked, after as many places as a set has others.
+    alone = F.col("size") - F.count("*").over(own)
+    ranked = rows.join(rarity, ["scope", "x"]).withColumn("r", alone + F.row_number().over(own.orderBy("count", "x")))
     prefix = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1
-    rare = materialized(ranked.filter((F.col("r") <= prefix) & (F.col("count") > 1)).select("scope", "id", "size", "x"), "similar-prefixes")
+    rare = materialized(ranked.filter(F.col("r") <= prefix).select("scope", "id", "size", "x"), "similar-prefixes")
     a = rare.select("scope", "x", F.col("id").alias("a"), F.col("size").alias("size_a"))
     b = rare.select(F.col("scope").alias("scope_b"), F.col("x").alias("x_b"), F.col("id").alias("b"), F.col("size").alias("size_b"))
     near = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * threshold - 1e-9

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import spread
 from .profiles import FILLERS
 
 #: Features in vector order.
@@ -15,7 +16,7 @@ FEATURES = ("avg_sentence_len", "avg_word_len", "filler_rate", "punct_comma", "p
 def features(texts: DataFrame, text: str = "text", fillers: list[str] | None = None) -> DataFrame:
     """``texts`` with a column a feature; all 0 for a blank text."""
     picks = F.array(*map(F.lit, fillers or FILLERS))
-    x = texts.withColumn("__t", T.strip(F.coalesce(text, F.lit("")))).withColumn("__w", T.style_words(F.col("__t")))
+    x = spread(texts).withColumn("__t", T.strip(F.coalesce(text, F.lit("")))).withColumn("__w", T.style_words(F.col("__t")))
     x = x.withColumns({"__s": T.sentences(F.col("__t")), "__c": F.filter(F.transform(F.split("__t", "\n\n"), T.strip), lambda c: c != ""), "__b": F.array_sort(T.grams(F.col("__w"), 2))})
     n, nw = F.greatest(F.length("__t"), F.lit(1)), F.size("__w")
     total = lambda a, f: F.aggregate(a, F.lit(0), lambda acc, y: acc + f(y))
