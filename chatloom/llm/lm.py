@@ -8,7 +8,8 @@ of the training texts, deleted from the counts for that purpose alone).
 
 The model is as large as the corpus, so no task or driver ever holds it:
 
-1. Texts are packed into *blocks* of some megabytes, written once.
+1. Texts are packed into *blocks* of some megabytes, written once: their tokens as
+   numbers into the block's list of word hashes. Texts themselves don't travel on.
 2. A block sends the sorted hashes of its distinct n-grams, with its counts, in
    one binary row to each of ``2 ** BITS`` *cells* of the hash range. So rows grow
    in proportion to the blocks, whatever the corpus.
@@ -114,8 +115,12 @@ def _kind(tune: int):
 
 
 def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows (block, kind, ids, texts, tokens) from rows (doc_id, kind, text)."""
-    schema = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("ids", pa.list_(pa.int64())), ("texts", pa.list_(pa.string())), ("tokens", pa.int64())])
+    """Rows (block, kind, ids, sizes, words, seq, tokens) from rows (doc_id, kind, text).
+
+    words are the hashes of the block's words, the most frequent first; seq has the place of each token's in that
+    list; sizes are the numbers of tokens of the texts.
+    """
+    schema = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("words", pa.binary()), ("seq", pa.binary()), ("tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -128,10 +133,13 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             parts, _ = held.pop(kind)
             ids = pa.concat_arrays([p.column("doc_id") for p in parts])
             texts = pa.concat_arrays([p.column("text").cast(pa.string()) for p in parts])
-            data, offs = _flat(texts)
-            tokens = len(grid.words(data, offs)[0]) + len(ids)
-            one = pa.array([0, len(ids)], pa.int32())
-            out = pa.RecordBatch.from_arrays([pa.array([number]), pa.array([kind], pa.int32()), pa.ListArray.from_arrays(one, ids), pa.ListArray.from_arrays(one, texts), pa.array([tokens])], schema=schema)
+            seq, _, begin = sequence(*_flat(texts))
+            words, at, times = np.unique(seq, return_inverse=True, return_counts=True)
+            order = np.argsort(-times, kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            packed = [pa.array([x], pa.binary()) for x in (_pack(np.diff(np.append(begin, len(seq)))), words[order].tobytes(), _pack(place[at]))]
+            out = pa.RecordBatch.from_arrays([pa.array([number]), pa.array([kind], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *packed, pa.array([len(seq)])], schema=schema)
             number += 1
             return out
 
@@ -146,7 +154,14 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         for kind in sorted(held):
             yield flush(kind)
 
-    return in_batches(docs.select("doc_id", "kind", "text"), run, "block long, kind int, ids array<long>, texts array<string>, tokens long")
+    return in_batches(docs.select("doc_id", "kind", "text"), run, "block long, kind int, ids array<long>, sizes binary, words binary, seq binary, tokens long")
+
+
+def tokens_of(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``sequence`` of a block's texts."""
+    sizes = _unpack(batch.column("sizes")[i].as_py()).astype(np.int64)
+    seq = np.frombuffer(batch.column("words")[i].as_py(), np.uint64)[_unpack(batch.column("seq")[i].as_py())]
+    return seq, np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes) - sizes
 
 
 #: What the owner of n-grams (a block or group) sends to a cell of a level: sorted hashes as differences, counts of the kinds that are counted (empty for none).
@@ -173,12 +188,12 @@ def _requests(rows: DataFrame, gram: int, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                seq, _, begin = sequence(*_flat(batch.column("texts")[i].values))
+                seq, _, begin = tokens_of(batch, i)
                 block, kind = batch.column("block")[i].as_py(), batch.column("kind")[i].as_py()
                 keys, n = np.unique(ngrams(seq, begin, gram)[-1], return_counts=True)
                 yield _asks(bits, gram, 0, 0, block, keys, n if kind == COUNTED else None, n if kind == TUNING else None)
 
-    return in_batches(rows.select("block", "kind", "texts"), run, ASK)
+    return in_batches(rows.select("block", "kind", "sizes", "words", "seq"), run, ASK)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], key: tuple[str, ...], names: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
@@ -290,8 +305,9 @@ def _met(rows: DataFrame, answers: DataFrame, parts: int) -> DataFrame:
 class _Counts:
     """Counts of a block's n-grams and contexts, a value a token."""
 
-    def __init__(self, texts: pa.Array, answers: list[dict], order: int, which: str):
-        self.seq, self.doc, self.begin = sequence(*_flat(texts))
+    def __init__(self, batch: pa.RecordBatch, i: int, order: int, which: str):
+        self.seq, self.doc, self.begin = tokens_of(batch, i)
+        answers = batch.column("answers")[i].as_py()
         grams = ngrams(self.seq, self.begin, order)
         self.n, unique, counts = [], [], []
         for k, g in enumerate(grams):
@@ -345,14 +361,14 @@ def learned(tuning: DataFrame, order: int, kept_tokens: int, words: int, rounds:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                c = _Counts(batch.column("texts")[i].values, batch.column("answers")[i].as_py(), order, "kept")
+                c = _Counts(batch, i, order, "kept")
                 key = np.zeros(len(c.seq), np.int64)
                 for k, f in enumerate(c.estimates(kept_tokens)):
                     key = key * LEVELS + _level(f, k)
                 both, n = np.unique(c.bucket() * cells + key, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(both), pa.array(n)], schema=pa.schema([("key", pa.int64()), ("n", pa.int64())]))
 
-    found = in_batches(tuning.select("texts", "answers"), run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    found = in_batches(tuning.select("sizes", "words", "seq", "answers"), run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
     buckets = 1 + WIDTH * max(order - 1, 0)
     key, n = found["key"].to_numpy(np.int64), found["n"].to_numpy(float)
     bucket = key // cells
@@ -418,7 +434,7 @@ def score(docs: DataFrame, order: int = 3, tune: int = 3, bits: int = BITS, cell
         for batch in batches:
             for i in range(batch.num_rows):
                 ids = batch.column("ids")[i].values
-                c = _Counts(batch.column("texts")[i].values, batch.column("answers")[i].as_py(), order, "total")
+                c = _Counts(batch, i, order, "total")
                 bucket = c.bucket()
                 p = weights[bucket, 0] / (words + 1)
                 for k, f in enumerate(c.estimates(total)):
@@ -428,6 +444,6 @@ def score(docs: DataFrame, order: int = 3, tune: int = 3, bits: int = BITS, cell
                 simple = add(np.log10((c.n[0] + 1) / (total + 1 * (words + 1))))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.bincount(c.doc, minlength=len(ids))), pa.array(known), pa.array(simple), pa.array(add(np.log10(np.maximum(p, 1e-300))))], schema=schema)
 
-    out = in_batches(_met(packed.select("block", "ids", "texts"), answers, parts).select("ids", "texts", "answers"), run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    out = in_batches(_met(packed.select("block", "ids", "sizes", "words", "seq"), answers, parts).select("ids", "sizes", "words", "seq", "answers"), run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     held = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
