@@ -167,3 +167,14 @@ def truncate_display(x, limit: int) -> Column:
 def contains_any(x, fillers: Column) -> Column:
     """Whether a filler occurs in the lower-cased text, as a substring."""
     return let(F.lower(x), lambda low: F.exists(fillers, lambda f: F.contains(low, f)))
+
+
+def as_float(x) -> Column:
+    """A number, or null for what isn't one and for NaN."""
+    v = x.try_cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def as_int(x) -> Column:
+    """The nearest whole number, of two the even one; null for what isn't a number."""
+    return F.bround(as_float(x)).try_cast("bigint")

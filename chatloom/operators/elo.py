@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import stable_order
+from .dedup import materialized
 
 TOLERANCE = 8.0  # of starting ratings, within which two players are rated by their wins alone
 
@@ -106,7 +107,9 @@ def replay_groups(rows: DataFrame, priors: DataFrame | None = None, start: float
 
     A scope of two labels with near starting ratings is rated by wins alone; of others the games are
     folded, in hash order or (chronological) by file time and line. ``priors`` has (scope, label, rating).
+    The rows are written once, since players and games are read from them one after the other and must be the same.
     """
+    rows = materialized(rows, "elo-rows")
     side = lambda c, won: F.struct(F.col(c).alias("label"), F.lit(won).alias("won"))
     x = rows.select("scope", F.explode(F.array(side("winner_label", 1), side("loser_label", 0))).alias("g")).select("scope", "g.*")
     rates = x.groupBy("scope", "label").agg(F.sum("won").cast("long").alias("wins"), F.count("*").alias("games"))

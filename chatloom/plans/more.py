@@ -638,3 +638,73 @@ def delta_bars(spark, d):
 def primary_metric(spark, d):
     s = table(spark, d, "events").groupBy(F.concat(F.lit("t."), "event_type").alias("metric")).agg(F.avg("value").alias("value"))
     return evals.primary_metric(s, "t", "si").select("metric", F.round("value", 6).alias("value"))
+
+
+@query("""WITH x AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'NaN' WHEN 1 THEN 'x' WHEN 2 THEN CAST(event_id AS VARCHAR) ELSE concat(event_id % 9, '.5') END AS v FROM events)
+SELECT event_id, CASE WHEN event_id % 5 > 1 THEN CAST(v AS DOUBLE) END AS f, CASE WHEN event_id % 5 > 1 THEN CAST(round_even(CAST(v AS DOUBLE), 0) AS BIGINT) END AS i FROM x""")
+def coerced_numbers(spark, d):
+    k = F.col("event_id")
+    v = F.when(k % 5 == 0, "NaN").when(k % 5 == 1, "x").when(k % 5 == 2, _id()).otherwise(F.concat((k % 9).cast("string"), F.lit(".5")))
+    return table(spark, d, "events").select("event_id", T.as_float(v).alias("f"), T.as_int(v).alias("i"))
+
+
+@query(f"WITH {MESSAGES} SELECT folder, id FROM m WHERE folder IN ('1', '7')")
+def chosen_folders(spark, d):
+    return merge.in_folders(event_messages(spark, d), ["1", "7"]).select("folder", "id")
+
+
+@query("SELECT event_id, CAST(json_extract(concat('{\"a\": ', event_id, ', \"b\": \"', event_type, '\", \"c\": ', event_id % 3, '.5}'), '$.a') AS DOUBLE) AS a, event_id % 3 + 0.5::DOUBLE AS c, 2 AS n FROM events")
+def rating_maps(spark, d):
+    doc = F.concat(F.lit('{"a": '), _id(), F.lit(', "b": "'), "event_type", F.lit('", "c": '), (F.col("event_id") % 3).cast("string"), F.lit(".5}"))
+    m = elo.rating_map(doc)
+    return table(spark, d, "events").select("event_id", m["a"].alias("a"), m["c"].alias("c"), F.size(m).alias("n"))
+
+
+@query("""WITH v AS (SELECT DISTINCT concat('/d/', event_type, '.jsonl') AS path, event_id % 3 AS source, CASE WHEN event_id % 2 = 0 THEN concat('l', event_id % 3) ELSE '' END AS label FROM events)
+SELECT substr(sha256(concat(path, '#', source)), 1, 12) AS variant_id, path, CASE WHEN label = '' THEN split_part(path, '/', 3) ELSE label END AS label FROM v""")
+def variant_metadata(spark, d):
+    k = F.col("event_id")
+    v = table(spark, d, "events").select(F.concat(F.lit("/d/"), "event_type", F.lit(".jsonl")).alias("path"), (k % 3).alias("source"), F.when(k % 2 == 0, F.concat(F.lit("l"), (k % 3).cast("string"))).otherwise(F.lit("")).alias("label")).distinct()
+    return merge.variant_metadata(v)
+
+
+@query("SELECT 'path' AS mode, '/v/same' AS value, 'sha256' AS hash_mode, 'h' AS hash")
+def provenance(spark, d):
+    runs = table(spark, d, "nation").select(F.lit(" /v/same ").alias("eval_val_jsonl"), F.lit("h").alias("eval_val_sha256"))
+    a, b = merge.provenance(runs), merge.provenance(runs, by_hash=True)
+    # One row each.
+    return a.join(b.select(F.col("mode").alias("hash_mode"), F.col("value").alias("hash")), F.lit(True))
+
+
+@query("SELECT 'x' AS label, count(*) AS votes, 8::BIGINT AS rank FROM (SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders)")
+def adapter_rank_votes(spark, d):
+    k = table(spark, d, "orders").select("o_orderpriority", "o_orderstatus").distinct()
+    pairs = k.select(F.lit(8).cast("long").alias("rank"), F.lit(True).alias("paired"))
+    return probe.adapter_rank(pairs).select(F.lit("x").alias("label"), "votes", "rank")
+
+
+@query("SELECT 'BPE' AS model_type, (SELECT count(*) FROM nation) AS size_a, (SELECT count(*) FROM nation WHERE n_nationkey < 20) AS size_b, (SELECT count(*) FROM nation WHERE n_nationkey < 20) AS shared, (SELECT count(*) FROM nation WHERE n_nationkey >= 20) AS only_a")
+def tokenizer_documents(spark, d):
+    n = table(spark, d, "nation")
+    vocab = lambda x: x.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("n_name", "n_nationkey")))).alias("v")).select(F.concat(F.lit('{"model": {"type": "BPE", "vocab": '), "v", F.lit("}}")).alias("doc"))
+    a, b = vocab(n), vocab(n.filter("n_nationkey < 20"))
+    c = tokens.compare_configs(a, b).select("size_a", "size_b", "shared", "only_a")
+    return c.join(tokens.config_summary(a).select("model_type"), F.lit(True))
+
+
+@query(SQL["elo_fold"])
+def elo_replay(spark, d):
+    """Games by time of their file and line; the days stand for files, so the order is that of ``elo_fold``. Every user has more than two labels."""
+    g = _games(spark, d)
+    line = F.row_number().over(Window.partitionBy("sample_key").orderBy("winner_label", "loser_label"))
+    rows = g.withColumns({"scope": F.substring_index("sample_key", "|", 1), "i": F.lit(0), "j": F.lit(1), "swap": F.lit(False), "line": line, "mtime": F.substring_index("sample_key", "|", -1).cast("timestamp")})
+    return elo.replay_groups(rows, chronological=True).select("scope", "label", F.round("rating", 4).alias("rating"))
+
+
+@query(f"""WITH {_GAMES}, sm AS (SELECT event_type AS label, avg(value) AS similarity FROM events GROUP BY ALL), n AS (SELECT label, wins, similarity, CASE WHEN max(similarity) OVER () - min(similarity) OVER () <= 1e-9 THEN 0.5 ELSE (similarity - min(similarity) OVER ()) / (max(similarity) OVER () - min(similarity) OVER ()) END AS fp FROM wr JOIN sm USING (label))
+SELECT label, wins, round(similarity, 6) AS similarity, round(fp, 6) AS combined FROM n""")
+def rank_summary(spark, d):
+    sim = table(spark, d, "events").groupBy(F.col("event_type").alias("label")).agg(F.avg("value").alias("similarity"))
+    rated = elo.win_rates(_games(spark, d)).withColumn("rating", F.col("wins").cast("double"))
+    combined = elo.combined(sim.withColumn("rating", F.lit(None).cast("double")))
+    return elo.summary_rows(rated, sim, combined).select("label", "wins", F.round("similarity", 6).alias("similarity"), F.round("combined", 6).alias("combined"))

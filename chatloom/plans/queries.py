@@ -506,8 +506,8 @@ def verdict_tally(spark, d):
 
 
 def _games(spark, d):
-    """Per user and day, pairs of kinds of event: the one with the larger mean wins."""
-    e = table(spark, d, "events").filter("user_id is not null").groupBy("user_id", F.to_date("ts").alias("day"), "event_type").agg(F.avg("value").alias("v"))
+    """Per user and day, pairs of kinds of event: the one with the larger mean wins. Means are rounded, so that equal ones are equal in every run."""
+    e = table(spark, d, "events").filter("user_id is not null").groupBy("user_id", F.to_date("ts").alias("day"), "event_type").agg(F.round(F.avg("value"), 6).alias("v"))
     b = e.select("user_id", "day", F.col("event_type").alias("other"), F.col("v").alias("w"))
     g = e.join(b, ["user_id", "day"]).filter((F.col("event_type") < F.col("other")) & (F.col("v") != F.col("w")))
     won = F.col("v") > F.col("w")
@@ -515,7 +515,7 @@ def _games(spark, d):
     return g.select(F.concat_ws("|", F.col("user_id").cast("string"), F.col("day").cast("string")).alias("sample_key"), pick(won).alias("winner_label"), pick(~won).alias("loser_label"))
 
 
-_GAMES = """v AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type AS k, avg(value) AS v FROM events WHERE user_id IS NOT NULL GROUP BY ALL),
+_GAMES = """v AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type AS k, round(avg(value), 6) AS v FROM events WHERE user_id IS NOT NULL GROUP BY ALL),
 gm AS (SELECT concat(CAST(a.user_id AS VARCHAR), '|', CAST(a.day AS VARCHAR)) AS sample_key, CASE WHEN a.v > b.v THEN a.k ELSE b.k END AS winner_label, CASE WHEN a.v > b.v THEN b.k ELSE a.k END AS loser_label FROM v a JOIN v b ON a.user_id = b.user_id AND a.day = b.day AND a.k < b.k AND a.v <> b.v),
 wr AS (SELECT label, CAST(sum(won) AS BIGINT) AS wins, count(*) AS games FROM (SELECT winner_label AS label, 1 AS won FROM gm UNION ALL SELECT loser_label, 0 FROM gm) GROUP BY ALL)"""
 
