@@ -76,9 +76,14 @@ def discard(*frames: DataFrame) -> None:
 
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of frames that nothing refers to any more,
-    now and not when the driver next happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    now and not when the driver next happens to collect its garbage.
+
+    A small query goes first, as the threads of the last one still refer to its plan until they run another.
+    """
+    spark.range(64).repartition(16).write.format("noop").mode("overwrite").save()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def small(df: DataFrame, max_rows: int) -> DataFrame:
