@@ -8,6 +8,7 @@ import random
 import re
 import textwrap
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -163,6 +164,25 @@ def test_targets_stop_at_the_cap(spark):
     assert got == {"a": 74.0, "b": 3.0, "c": 6.0, None: 30.0}
 
 
+def test_targets_of_several_sources_below_the_cap(spark):
+    def shared(sizes):  # the contract's rounds, one after another
+        order = sorted(sizes, key=lambda s: (s is None, s or ""))
+        w, done = {s: k % 3 + 1 for k, s in enumerate(order)}, {}
+        while rest := [s for s in order if s not in done]:
+            part = Fraction(sum(sizes.values()) - sum(done.values()), sum(w[s] for s in rest))
+            over = [s for s in rest if w[s] * part > 3 * sizes[s]]
+            done |= {s: 3 * sizes[s] for s in over} if over else {s: w[s] * part for s in rest}
+        return {s: float(t) for s, t in done.items()}
+
+    g = random.Random(6)
+    tables = [{"a": 100, "b": 100, "c": 100}, {f"s{k}": 1000 + k for k in range(20)}, {"a": 0, "b": 0}]
+    tables += [{s: g.choice([0, 1, 7, 50, 900]) for s in [*"abcdefg"[: g.randrange(1, 8)], None, "\uffee", "\U0001f600"]} for _ in range(6)]
+    for sizes in tables:
+        got = {r["source"]: r["target"] for r in mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()}
+        assert got == shared(sizes)
+    assert shared(tables[0]) == {"a": 50.0, "b": 100.0, "c": 150.0}
+
+
 def test_decontamination(spark, odd, none):
     item = words(40, 2)
     bench = spark.createDataFrame([(1, item, 0), (2, "one", 0), (3, None, 0), (4, "", 0), (5, words(30, 99), 0), (6, " ".join(words(3000, 3).split()[500:530]), 0)], "item_id long, text string, n int")
