@@ -75,7 +75,9 @@ def fold(games: DataFrame, start: DataFrame, k: float = 32.0) -> DataFrame:
     kind = games.schema["ord"].dataType
     first = start.select("scope", F.lit(0).alias("kind"), null(kind, "ord"), F.col("label").alias("a"), null("string", "b"), F.col("rating").cast("double").alias("rating"))
     then = games.select("scope", F.lit(1).alias("kind"), "ord", F.col("winner_label").alias("a"), F.col("loser_label").alias("b"), null("double", "rating"))
-    rows = first.unionByName(then).repartition("scope").sortWithinPartitions("scope", "kind", "ord").select("scope", "kind", "a", "b", "rating")
+    # By a hash of the scope, since Spark leaves a shuffle by the scope out where both parts are already dealt by it, and may then merge the
+    # partitions of one part and not of the other, so that a scope's games meet another task than its start.
+    rows = first.unionByName(then).repartition(F.xxhash64("scope")).sortWithinPartitions("scope", "kind", "ord").select("scope", "kind", "a", "b", "rating")
     out = rows.select("scope", F.col("a").alias("label"), "rating").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

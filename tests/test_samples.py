@@ -117,6 +117,28 @@ def test_elo(spark):
     assert r["a"] - r["b"] == pytest.approx(400 * 0.47712125) and r["a"] + r["b"] == pytest.approx(3000)
 
 
+def test_games_and_starts_meet_where_both_are_dealt_by_scope(spark):
+    g = random.Random(4)
+    games = [(f"s{k % 300:03d}", f"{k:05d}", 0, 1, False, k, "2025-01-01 00:00:00", *g.sample(["one", "two", "three", "four"], 2)) for k in range(12_000)]
+    rows = spark.createDataFrame(games, "scope string, sample_key string, i int, j int, swap boolean, line int, mtime string, winner_label string, loser_label string")
+    # Sort-merge joins, and partitions of the starts that are merged while those of the games aren't: what a large table leads to.
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "30000b", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
+    old = {c: spark.conf.get(c, None) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        got = {(r["scope"], r["label"]): r["rating"] for r in elo.replay_groups(rows, chronological=True).collect()}
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v) if v is not None else spark.conf.unset(c)
+    want = {}
+    for scope, *_, a, b in games:
+        x, y = want.get((scope, a), 1500.0), want.get((scope, b), 1500.0)
+        won = 1 / (1 + 10 ** ((y - x) / 400))
+        want[scope, a], want[scope, b] = x + 32 * (1 - won), y - 32 * (1 - won)
+    assert got == pytest.approx(want)
+
+
 def test_merge_and_votes(spark):
     rows = spark.createDataFrame([(0, "x", 1, "g1"), (0, "x", 2, "g2"), (1, "x", 1, "h"), (1, "y", 1, "i")], "source int, key string, place int, generated string")
     m = merge.merge_sources(rows, ["generated"], 2).collect()
