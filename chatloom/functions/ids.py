@@ -65,13 +65,16 @@ def group_key(kind, value) -> Column:
     return F.concat(kind, F.lit("\u001f"), value)
 
 
-def bytes_label(n) -> Column:
+def bytes_label(n, largest: str = "GB") -> Column:
+    """B, KB, MB or GB, whichever suits the size, but no unit beyond ``largest``."""
     n = n.cast("double")
-    shown = lambda x, digits, unit: F.format_string(f"%.{digits}f {unit}", F.bround(x, digits))
-    return (
-        F.when(n < 1024, F.concat(n.cast("long").cast("string"), F.lit(" B"))).when(n < 1024**2, shown(n / 1024, 1, "KB"))
-        .when(n < 1024**3, shown(n / 1024**2, 1, "MB")).otherwise(shown(n / 1024**3, 2, "GB"))
-    )
+    units = [("KB", 1024, 1), ("MB", 1024**2, 1), ("GB", 1024**3, 2)]
+    units = units[: [u for u, _, _ in units].index(largest) + 1]
+    shown = [F.format_string(f"%.{digits}f {unit}", F.bround(n / size, digits)) for unit, size, digits in units]
+    out = F.when(n < 1024, F.concat(n.cast("long").cast("string"), F.lit(" B")))
+    for label, (_, size, _) in zip(shown, units[1:]):
+        out = out.when(n < size, label)
+    return out.otherwise(shown[-1])
 
 
 def display_label(alias, label, run, width: int = 24) -> Column:

@@ -5,8 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from chatloom.functions import judging
+from chatloom.functions import ids, judging
 from chatloom.operators import balance, dedup, elo, merge, probe, status, tokens
+from chatloom.plans import more
 from chatloom.sources import records, stores
 
 
@@ -176,3 +177,17 @@ def test_small_parts(spark):
     assert balance.sweep_lists({"a": 2, "b": 0.5}, {"a": "2, 3", "b": None}) == {"a": [2, 3], "b": [0.5]}
     with pytest.raises(ValueError):
         balance.sweep_lists({"a": 2}, {"a": " , "})
+
+
+def test_byte_labels(spark):
+    x = spark.createDataFrame([(n,) for n in (0, 1023, 1024, 1280, 1024**2 - 1, 1024**2, 3 * 1024**3)], "n long")
+    assert [r["b"] for r in x.select(ids.bytes_label(F.col("n")).alias("b")).collect()] == ["0 B", "1023 B", "1.0 KB", "1.2 KB", "1024.0 KB", "1.0 MB", "3.00 GB"]
+    assert [r["b"] for r in x.select(ids.bytes_label(F.col("n"), "MB").alias("b")).collect()][-2:] == ["1.0 MB", "3072.0 MB"]
+
+
+def test_identifiers_of_large_keys(spark, tmp_path):
+    """The query's SQL writes KB from 1024 bytes on, whatever the size."""
+    keys = [1, 28339, 28340, 28342, 29_020_049, 6_000_000_000]
+    spark.createDataFrame([(k, "view") for k in keys], "event_id long, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    got = {r["event_id"]: r["bytes"] for r in more.QUERIES["identifiers"](spark, str(tmp_path)).collect()}
+    assert got == {k: f"{k * 37 / 1024:.1f} KB" if k > 27 else f"{k * 37} B" for k in keys}
